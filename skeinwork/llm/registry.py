@@ -5,11 +5,12 @@ from __future__ import annotations
 from .license_scan import op8_license_scan
 from .mix_sources import op9_mix_sources
 from .ring_shards import op3_ring_shards
+from .simhash_groups import op6_simhash_groups
 from .span_prints import op1_span_prints
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_span_prints, op3_ring_shards, op8_license_scan, op9_mix_sources)}
+    return {f.__name__: f for f in (op1_span_prints, op3_ring_shards, op6_simhash_groups, op8_license_scan, op9_mix_sources)}
 
 
 def oracle_sql() -> dict:
