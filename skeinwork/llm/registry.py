@@ -6,13 +6,14 @@ from .benchmark_leaks import op10_benchmark_leaks
 from .byte_convnet import op2_byte_convnet
 from .license_scan import op8_license_scan
 from .mix_sources import op9_mix_sources
+from .pattern_pii import op7_pattern_pii
 from .ring_shards import op3_ring_shards
 from .simhash_groups import op6_simhash_groups
 from .span_prints import op1_span_prints
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_span_prints, op2_byte_convnet, op3_ring_shards, op6_simhash_groups, op8_license_scan, op9_mix_sources, op10_benchmark_leaks)}
+    return {f.__name__: f for f in (op1_span_prints, op2_byte_convnet, op3_ring_shards, op6_simhash_groups, op7_pattern_pii, op8_license_scan, op9_mix_sources, op10_benchmark_leaks)}
 
 
 def oracle_sql() -> dict:
