@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .benchmark_leaks import op10_benchmark_leaks
 from .byte_convnet import op2_byte_convnet
+from .chat_templates import op4_chat_templates
 from .host_extract import op5_host_extract
 from .license_scan import op8_license_scan
 from .mix_sources import op9_mix_sources
@@ -14,7 +15,7 @@ from .span_prints import op1_span_prints
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_span_prints, op2_byte_convnet, op3_ring_shards, op5_host_extract, op6_simhash_groups, op7_pattern_pii, op8_license_scan, op9_mix_sources, op10_benchmark_leaks)}
+    return {f.__name__: f for f in (op1_span_prints, op2_byte_convnet, op3_ring_shards, op4_chat_templates, op5_host_extract, op6_simhash_groups, op7_pattern_pii, op8_license_scan, op9_mix_sources, op10_benchmark_leaks)}
 
 
 def oracle_sql() -> dict:
