@@ -56,5 +56,5 @@ def human_size(n: Column) -> Column:
     out = F.concat(n.cast("long").cast("string"), F.when(n == 1, " byte").otherwise(" bytes"))
     for power, unit in enumerate(["KB", "MB", "GB", "TB", "PB"], 1):
         size = float(1 << (10 * power))
-        out = F.when(n >= size, F.concat(F.format_string("%.1f", n / size), F.lit(f" {unit}"))).otherwise(out)
+        out = F.when(n >= size, F.concat(F.format_string("%.1f", F.bround(n / size, 1)), F.lit(f" {unit}"))).otherwise(out)
     return out

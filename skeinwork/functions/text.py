@@ -7,7 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType
 
 UUID_LIKE = "^[0-9a-fA-F-]{32,36}$"
 
@@ -18,7 +18,7 @@ def payload(line: Column) -> Column:
     return F.when(at > 0, F.substr(line, at))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def is_json_object(text: pd.Series) -> pd.Series:
     """Whether the whole text is one JSON object, as a strict decoder sees it."""
     def check(t):
@@ -30,7 +30,7 @@ def is_json_object(text: pd.Series) -> pd.Series:
     return text.map(check)
 
 
-def decode(df: DataFrame, text: str, schema: StructType, out: str = "record", strict: bool = False) -> DataFrame:
+def decode(df: DataFrame, text: str, schema: str, out: str = "record", strict: bool = False) -> DataFrame:
     """Adds the decoded object and drops rows that aren't one.
 
     The parser of Spark takes `{...} trailing` for an object; the closing brace at the end is asked for besides. strict also
@@ -40,8 +40,7 @@ def decode(df: DataFrame, text: str, schema: StructType, out: str = "record", st
     held = df.where(whole.endswith("}"))
     if strict:
         held = held.where(is_json_object(F.col(text)))
-    broken = StructType(schema.fields).add("__broken", "string")
-    parsed = held.withColumn(out, F.from_json(text, broken, {"columnNameOfCorruptRecord": "__broken"}))
+    parsed = held.withColumn(out, F.from_json(text, f"{schema}, __broken string", {"columnNameOfCorruptRecord": "__broken"}))
     return parsed.where(F.col(f"{out}.__broken").isNull() & F.col(out).isNotNull()).withColumn(out, F.col(out).dropFields("__broken"))
 
 

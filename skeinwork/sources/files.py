@@ -7,6 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as X
 
@@ -40,7 +41,7 @@ def digests(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def chunked_sha256(path: pd.Series) -> pd.Series:
     """sha256 of files of any size, a chunk at a time, by paths that the workers can open."""
     def one(p):

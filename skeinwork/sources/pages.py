@@ -18,6 +18,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..schemas import TASK_DOCUMENT
 
 LIMIT, TIMEOUT = 50, 10
+FIELDS = [f.split()[0] for f in TASK_DOCUMENT.split(", ")]
 
 
 def saved_pages(options: dict, start: int, limit: int) -> dict:
@@ -62,7 +63,7 @@ class PageReader(DataSourceReader):
             page = fetch(self.options, start, self.limit)
             items = page.get("items") or []
             for item in items:
-                yield tuple(self._cell(item.get(f, page.get("runAt") if f == "runAt" else None)) for f in TASK_DOCUMENT.names)
+                yield tuple(self._cell(item.get(f, page.get("runAt") if f == "runAt" else None)) for f in FIELDS)
             start += self.limit
             if partition.start >= 0 or len(items) < self.limit:
                 return
