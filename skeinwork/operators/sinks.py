@@ -5,8 +5,10 @@ A delivery is at most once: an attempt is recorded whatever comes of it and neve
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,8 +70,6 @@ def latest_wins(table: VersionedTable, keys: list[str]) -> Callable[[DataFrame,
 
 def deliveries(payloads: DataFrame, key: str, url: Column, method: str, send: Callable[[str, str, str], tuple[int, str]], now: Column) -> DataFrame:
     """The audit rows of sending (key, payload) rows. send(method, url, payload) gives status and body, on the workers; what it raises is recorded."""
-    import pandas as pd
-
     @F.pandas_udf("http_status int, response_body string, error_message string")
     def attempt(target: pd.Series, payload: pd.Series) -> pd.DataFrame:
         out = []
@@ -107,10 +107,6 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def yaml_text(document: Column) -> Column:
     """A JSON document as YAML, keys in their order. JSON is YAML; this is the block form of one level, deeper ones stay inline."""
-    import json
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def block(texts: pd.Series) -> pd.Series:
         def one(t):
