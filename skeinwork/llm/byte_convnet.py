@@ -83,15 +83,18 @@ class Net:
         for i, w in enumerate(WIDTHS):
             joined[: w * DIMENSIONS, i * FILTERS : (i + 1) * FILTERS] = self.p[f"w{w}"]
         shift = np.concatenate([self.p[f"c{w}"] for w in WIDTHS])
+        embedded = np.zeros((32, size + wide - 1, DIMENSIONS), dtype=np.float32)
         for a in range(0, len(x), 32):
-            part = x[a : a + 32]
-            embedded = np.zeros((len(part), size + wide - 1, DIMENSIONS), dtype=np.float32)
+            # Always 32 windows: a product's last digits depend on its shape, and a text's answer mustn't on its neighbours.
+            part, n = x[a : a + 32], min(32, len(x) - a)
+            if n < 32:
+                part = np.concatenate([part, np.zeros((32 - n, size), dtype=np.uint8)])
             np.take(self.p["e"], part, axis=0, out=embedded[:, :size])
             columns = np.lib.stride_tricks.as_strided(embedded, (len(part), size, wide * DIMENSIONS), (embedded.strides[0], DIMENSIONS * 4, 4))
             answers = (columns.reshape(-1, wide * DIMENSIONS) @ joined).reshape(len(part), size, -1)
             z = np.tanh(answers.max(axis=1) + shift) @ self.p["v"] + self.p["b"]
             z -= z.max(axis=1, keepdims=True)
-            out[a : a + 32] = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+            out[a : a + n] = (z - np.log(np.exp(z).sum(axis=1, keepdims=True)))[:n]
         return out
 
     def train(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> None:
