@@ -229,7 +229,8 @@ def _forest(nodes: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> tu
 def _links(group, reach: int):
     """Linked positions (x, y) of a group, a chunk of rows at a time."""
     same = group[1][0] == group[2][0]
-    lanes = np.stack(group[5:], axis=1)
+    # Unsigned: bitwise_count takes the bits of a negative number's absolute value.
+    lanes = np.stack(group[5:], axis=1).view(np.uint64)
     left = np.arange(len(lanes)) if same else np.flatnonzero(group[3] == 0)
     right = left if same else np.flatnonzero(group[3] == 1)
     for a in range(0, len(left), 256):
@@ -339,13 +340,13 @@ def distinct_documents(docs: DataFrame, **settings) -> DataFrame:
     """docs with one row left of each group: all its columns, in the same order."""
     rows, nodes = groups(docs, **settings)
     names = docs.columns
-    kept = nodes.where("text_key = class_key").select("text_key", "first_id")
+    kept = nodes.where("text_key = class_key").select(F.col("text_key").alias("__kept"), F.col("first_id").alias("__id"))
     # Only ids that repeat with the same text need a second look at the rows.
-    again = rows.groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("first_id"), "text_key")
-    same = [F.col("__key") == F.col("text_key"), F.col("doc_id").eqNullSafe(F.col("first_id"))]
+    again = rows.groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("__again"), "text_key")
+    twice = (F.col("__kept") == F.col("text_key")) & F.col("__id").eqNullSafe(F.col("__again"))
+    many, single = settled(kept.join(again, twice, "left_semi")), kept.join(again, twice, "left_anti")
+    same = (F.col("__key") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id"))
     held = docs.withColumn("__key", text_key())
-    many = settled(kept.join(again, (kept["text_key"] == again["text_key"]) & kept["first_id"].eqNullSafe(again["first_id"]), "left_semi"))
-    single = kept.join(many, (kept["text_key"] == many["text_key"]) & kept["first_id"].eqNullSafe(many["first_id"]), "left_anti")
     one = held.join(single, same, "left_semi").select(*names)
     rest = held.join(many, same, "left_semi").dropDuplicates(["doc_id", "__key"]).select(*names)
     return one.unionByName(rest)
