@@ -186,7 +186,7 @@ _FOUND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("patte
 
 
 def _scan(batch):
-    """The base of each row and its identifier-like tokens: known is 1 for a base span or a keyword's token, -1 for one that failed a form's test, else 0."""
+    """The base of each row and its identifier-like tokens: known is 1 for a base span or a keyword's token, -1 for one that is, whole, of a form whose test it fails, else 0."""
     rows = []
     for key, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
         text = text or ""
@@ -196,7 +196,7 @@ def _scan(batch):
         for a, b, patterns, token in candidates(text):
             covered = any(x < b and a < y for _, x, y in base)
             said = any(p.startswith("l1|") and p.split("|")[1] in KEYWORDS for p in patterns)
-            known = 2 if covered else -1 if any(x < b and a < y for x, y in failed) else 1 if said else 0
+            known = 2 if covered else -1 if any(x <= a and b <= y for x, y in failed) else 1 if said else 0
             digest = hashlib.blake2b(token.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
             found.append({"start": a, "end": b, "patterns": patterns, "instance": digest, "known": known})
         counts = [sum(k == x for k, _, _ in base) for x in KINDS]
