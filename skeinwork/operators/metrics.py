@@ -16,14 +16,34 @@ def polls(by: str, order: list[str]) -> Window:
     return Window.partitionBy(by).orderBy(*order)
 
 
-def running(df: DataFrame, by: str, order: list[str], **columns: str) -> DataFrame:
-    """Adds running sums: name=column."""
+def _spread(df: DataFrame, by: str, order: list[str], bucket: Column, total, local, joined, columns: dict[str, str]) -> DataFrame:
+    """A running aggregate in two steps: inside each (by, bucket), and over the buckets' totals, of which a crawl has few.
+
+    bucket must not fall where the order rises. A crawl with a third of all rows is thus as many tasks as it has buckets.
+    """
+    held = df.withColumn("__bucket", bucket)
+    sums = held.groupBy(by, "__bucket").agg(*[total(c).alias(f"__{n}") for n, c in columns.items()])
+    before = Window.partitionBy(by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    prior = sums.select(by, "__bucket", *[local(f"__{n}", before).alias(f"__{n}") for n in columns])
+    inside = Window.partitionBy(by, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = held.join(prior, [by, "__bucket"]).withColumns({n: joined(local(c, inside), F.col(f"__{n}")) for n, c in columns.items()})
+    return out.drop("__bucket", *[f"__{n}" for n in columns])
+
+
+def running(df: DataFrame, by: str, order: list[str], bucket: Column | None = None, **columns: str) -> DataFrame:
+    """Adds running sums: name=column. bucket: see _spread."""
+    if bucket is not None:
+        add = lambda own, prior: F.when(own.isNull(), prior).otherwise(own + F.coalesce(prior, F.lit(0)))
+        return _spread(df, by, order, bucket, F.sum, lambda c, w: F.sum(c).over(w), add, columns)
     w = polls(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({name: F.sum(c).over(w) for name, c in columns.items()})
 
 
-def carried(df: DataFrame, by: str, order: list[str], **columns: str) -> DataFrame:
-    """Adds the last value that isn't null so far: name=column."""
+def carried(df: DataFrame, by: str, order: list[str], bucket: Column | None = None, **columns: str) -> DataFrame:
+    """Adds the last value that isn't null so far: name=column. bucket: see _spread."""
+    if bucket is not None:
+        latest = lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order)))
+        return _spread(df, by, order, bucket, latest, lambda c, w: F.last(c, ignorenulls=True).over(w), lambda own, prior: F.coalesce(own, prior), columns)
     w = polls(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({name: F.last(c, ignorenulls=True).over(w) for name, c in columns.items()})
 

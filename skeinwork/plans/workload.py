@@ -122,7 +122,7 @@ def last_value_per_job(spark, d):
 @query(f"select job, event_id, last_value(case when context = 'crawlStatus' then k end ignore nulls) over (partition by job order by event_id rows between unbounded preceding and current row) as crawled from ({V.LOG_SQL})")
 def carry_forward_counters(spark, d):
     e = log_records(V.log_lines(spark, d)).select("job", F.col("offset").alias("event_id"), F.when(F.col("record.context") == "crawlStatus", F.col("record.details.crawled")).alias("v"))
-    return M.carried(e, "job", ["event_id"], crawled="v").drop("v")
+    return M.carried(e, "job", ["event_id"], bucket=F.floor(F.col("event_id") / 4096), crawled="v").drop("v")
 
 
 @query("""select user_id as job, round(sum(case when code like '2%' then 1 else 0 end) / greatest(count(*), 1), 6) as success_ratio, round(1 - sum(case when code like '2%' then 1 else 0 end) / greatest(count(*), 1), 6) as failure_ratio

@@ -65,6 +65,16 @@ def test_rates_and_flags(spark):
     assert got == [(0.0, 0.0, False, False, False), (2.0, 0.0, False, True, True), (0.0, 0.0, False, False, False), (0.0, 1.0, True, False, False), (0.0, 0.0, False, False, False), (0.0, 0.0, False, False, False)]
 
 
+def test_running_values_in_buckets_equal_plain_ones(spark):
+    r = random.Random(1)
+    rows = [(r.choice(["a", "b"]), i, r.choice([None, i, 2 * i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "job string, n long, v long")
+    for f in (M.running, M.carried):
+        plain = sorted(map(tuple, f(df, "job", ["n"], x="v").collect()), key=lambda t: t[1])
+        for width in (1, 7, 1000):
+            assert sorted(map(tuple, f(df, "job", ["n"], bucket=F.floor(F.col("n") / width), x="v").select("job", "n", "v", "x").collect()), key=lambda t: t[1]) == plain
+
+
 def container(**stats):
     return {"id": "1", "name": "n", "status": "running", "attrs": {"State": {"Running": True}, "Config": {"Image": "i"}}, "stats": stats}
 
