@@ -15,8 +15,10 @@ ACTIONS = {
     "crawl_run": ("crawl", False), "crawl_force_finish": ("crawl", True), "crawl_cancel": ("crawl", True), "crawl_suspend": ("crawl", True), "crawl_resume": ("crawl", True), "crawl_stop": ("crawl", True),
     "website_publish_all": ("website", False), "website_unpublish_all": ("website", False), "website_group_set_schedule": ("website_group", False),
     "website_group_set_crawl_config": ("website_group", False), "website_group_priority_crawl": ("website_group", False),
-    "replay_publish": ("replay", False), "replay_unpublish": ("replay", False), "replay_repopulate": ("replay", False), "export_zosia": ("export", False),
+    "replay_publish": ("replay", False), "replay_unpublish": ("replay", False), "replay_repopulate": ("replay", False), "export_archive": ("export", False),
 }
+#: Exports are named after where they go.
+EXPORT = "export_"
 PRIORITIES = ("low", "normal", "high", "priority")
 EXEMPT = "enable_adding_crawls"
 
@@ -48,7 +50,7 @@ def to_dispatch(stored: DataFrame, incoming: DataFrame, force: bool = False) ->
 def routed(tasks: DataFrame) -> DataFrame:
     """Adds group, known and message by action; an action that isn't known fails."""
     actions = F.broadcast(tasks.sparkSession.createDataFrame([(a, g) for a, (g, _) in ACTIONS.items()], "action string, handler string"))  # a constant table
-    out = tasks.join(actions, "action", "left")
+    out = tasks.join(actions, "action", "left").withColumn("handler", F.coalesce("handler", F.when(F.col("action").startswith(EXPORT), "export")))
     known = F.col("handler").isNotNull()
     return out.withColumn("dispatch_status", F.when(known, "dispatched").otherwise("failed")).withColumn("dispatch_message", F.when(~known, F.concat(F.lit("Unsupported task action: "), F.coalesce("action", F.lit("None")))))
 

@@ -86,6 +86,11 @@ def test_control_rules(spark):
         assert r.control_status == r.want and (r.control_message is not None) == (r.want == "failed"), r
 
 
+def test_exports_are_known_by_their_prefix(spark):
+    t = spark.createDataFrame([("crawl_run",), ("export_elsewhere",), ("nothing",), (None,)], "action string")
+    assert {r.action: r.dispatch_status for r in Q.routed(t).collect()} == {"crawl_run": "dispatched", "export_elsewhere": "dispatched", "nothing": "failed", None: "failed"}
+
+
 def test_requeue_and_lifecycle(spark):
     t = frame(spark, "task", {"uid": "a", "status": "failed", "action": "crawl_run", "updateTime": "2024-01-02T00:00:00Z"}, {"uid": "b", "status": "failed", "action": "x", "updateTime": "2024-01-01T00:00:00Z"}, {"uid": "c", "status": "running"})
     out = jobs.requeue_failed(t, 1)
