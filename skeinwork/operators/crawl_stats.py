@@ -28,8 +28,12 @@ def counts(records: DataFrame, key: Column, name: str = "key", by: tuple[str, ..
 
 
 def shares(counted: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Adds each row's part of its group's total. Only grouped counts go through the window."""
-    total = F.sum("n").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))
+    """Adds each row's part of its group's total. Without groups the total is one row beside all others (the counting's exchange is reused), so no task holds all keys."""
+    if not by:
+        total = F.broadcast(counted.agg(F.sum("n").alias("__total")).withColumn("__one", F.lit(1)))  # one row by construction
+        held = counted.withColumn("__one", F.lit(1)).join(total, "__one")
+        return held.withColumn("share", F.col("n") / F.greatest("__total", F.lit(1))).drop("__one", "__total")
+    total = F.sum("n").over(Window.partitionBy(*by))
     return counted.withColumn("share", F.col("n") / F.greatest(total, F.lit(1)))
 
 
