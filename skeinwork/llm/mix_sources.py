@@ -96,8 +96,8 @@ def words(text: str = "text"):
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, carry: list[str], seed: int = SEED, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The carried columns with size, source_size, target, copies and taken (copies * size)."""
+def _planned(docs: DataFrame, carry: list[str], seed: int = SEED, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The carried columns, whatever their names, with __size, __source_size, __target and __copies."""
     spark = docs.sparkSession
     held = docs.select(
         *[F.col(c) for c in carry],
@@ -115,16 +115,16 @@ def mix(docs: DataFrame, carry: list[str], seed: int = SEED, weights=WEIGHTS, sh
     whole = [int(g // s) if s else 0 for g, s in zip(goals, sizes)]
     plan = spark.createDataFrame(
         [(r["__source"], r["__none"], s, g, w, g - w * s) for r, s, g, w in zip(sums, sizes, goals, whole)],
-        "__source string, __none boolean, source_size long, target double, __whole int, __rest double",
+        "__source string, __none boolean, __source_size long, __target double, __whole int, __rest double",
     )
 
     def fitted(pdf):
         pdf = pdf.sort_values("__size")
         pdf["__take"] = fit([int(x) for x in pdf["__size"]], [int(x) for x in pdf["__n"]], float(pdf["__rest"].iloc[0]))
-        return pdf[["__source", "__none", "__size", "__take", "source_size", "target", "__whole"]]
+        return pdf[["__source", "__none", "__size", "__take", "__source_size", "__target", "__whole"]]
 
     taken = lengths.join(plan, ["__source", "__none"]).groupBy("__source", "__none").applyInPandas(
-        fitted, "__source string, __none boolean, __size long, __take long, source_size long, target double, __whole int"
+        fitted, "__source string, __none boolean, __size long, __take long, __source_size long, __target double, __whole int"
     )
     # The take of a length falls on its buckets in order: all of the first ones, part of one, none of the rest.
     below = F.sum("__n").over(Window.partitionBy(*key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
@@ -132,14 +132,20 @@ def mix(docs: DataFrame, carry: list[str], seed: int = SEED, weights=WEIGHTS, sh
     rank = F.row_number().over(Window.partitionBy(*key, "__bucket").orderBy("__h", *[F.col(c).asc_nulls_first() for c in carry if c in ("doc_id", "text")]))
     out = held.join(shares, [*key, "__bucket"]).withColumn("__rank", rank)
     copies = F.when(F.col("__size") == 0, 0).otherwise(F.col("__whole") + (F.col("__rank") <= F.col("__take")).cast("int"))
-    return out.select(*carry, F.col("__size").alias("size"), "source_size", "target", copies.cast("int").alias("copies"), (copies * F.col("__size")).cast("long").alias("taken"))
+    return out.select(*carry, "__size", "__source_size", "__target", copies.cast("int").alias("__copies"))
+
+
+def mix(docs: DataFrame, carry: list[str], **options) -> DataFrame:
+    """The carried columns with size, source_size, target, copies and taken (copies * size)."""
+    own = {"size": F.col("__size"), "source_size": F.col("__source_size"), "target": F.col("__target"), "copies": F.col("__copies"), "taken": (F.col("__copies") * F.col("__size")).cast("long")}
+    return _planned(docs, carry, **options).select(*carry, *[c.alias(n) for n, c in own.items()])
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """docs as mixed: every row as often as the mix takes it."""
     names = docs.columns
-    out = mix(docs, names, **options).where("copies > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*names)
+    out = _planned(docs, names, **options).where("__copies > 0")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*names)
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,6 +75,8 @@ def test_rows_are_repeated(documents, prose):
     got = Counter((r.doc_id, r.text) for r in M.mixed_rows(df).collect() if r.doc_id != 2003)
     assert got == Counter({k: n for k, n in plan.items() if n})
     assert M.mixed_rows(df).columns == df.columns
+    clash = df.selectExpr("*", "1 as copies", "2 as size", "3 as target", "4 as source_size", "5 as taken")
+    assert M.mixed_rows(clash).columns == clash.columns and M.mixed_rows(clash).count() == sum(got.values()) + M.mixed_rows(df).where("doc_id = 2003").count()
 
 
 def test_empty(documents):
