@@ -84,3 +84,25 @@ def test_blocks_of_items_join_up(spark, documents, prose):
     for block in D.item_blocks(bench, rows=11):
         parts |= {(r.doc_id, r.item_id) for r in D.leaks(documents(docs), spark.createDataFrame(block, "item_id long, text string")).collect()}
     assert parts == whole
+
+
+def test_heavy_edits_against_brute_force(spark, documents, prose):
+    """Copies with every 3rd to 6th word replaced, dropped or followed by another: none keeps a run of 6 words."""
+    items = [(i, prose(1000 + i, 16 + 2 * i)) for i in range(22)] + [(90, prose(77, 260)), (91, "pi rho sigma")]
+    docs = [(i, prose(i, 150)) for i in range(20)]
+    for i, t in items:
+        w = t.split()
+        for k in range(2, 7):
+            for kind, f in enumerate((lambda x: ["other"], lambda x: [], lambda x: [x, "extra"])):
+                copy = [y for j, x in enumerate(w) for y in (f(x) if j % k == k - 1 else [x])]
+                docs.append((1000 * (i + 1) + 10 * k + kind, f"{prose(i, 30)} {' '.join(copy)} {prose(3 * i, 30)}"))
+        docs.append((1000 * (i + 1), " extra ".join(w)))
+    want = brute(docs, items)
+    assert {(1000 * (i + 1) + 10 * k, i) for i in range(22) for k in (4, 5, 6)} <= want
+    got = D.leaks(documents(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(got) == len(want) and {(r.doc_id, r.item_id) for r in got} == want
+    text, size = dict(docs), dict(items)
+    for r in got:
+        words = Words([text[r.doc_id]]).hash
+        own = Words([size[r.item_id]]).hash
+        assert D.smith_waterman(own, words) == D.smith_waterman(own, words[r.first_word : r.last_word]) == round(r.score * 2 * len(own))
