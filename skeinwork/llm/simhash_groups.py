@@ -93,25 +93,41 @@ def printed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("doc_id", text_key().alias("text_key"), "text"), _print_batch, f"doc_id long, text_key string, {lanes}")
 
 
-def _near(strip: int, weight: int, delta: float) -> float:
-    """Chance that a point near which one of two fingerprints lies on a strip is also near the other, which differs in each bit with chance delta; times the chance of the first."""
-    both = 0.0
-    for k in range(weight + 1):
-        for a in range(k + 1):
-            for b in range(strip - k + 1):
-                if k - a + b <= weight:
-                    both += math.comb(strip, k) * math.comb(k, a) * math.comb(strip - k, b) * delta ** (a + b) * (1 - delta) ** (strip - a - b)
+def _near(strip: int, weight: int, apart: int) -> float:
+    """Share of the points of a strip that lie near both of two fingerprints which differ there in apart bits."""
+    both = 0
+    for a in range(apart + 1):
+        for b in range(strip - apart + 1):
+            if max(a, apart - a) + b <= weight:
+                both += math.comb(apart, a) * math.comb(strip - apart, b)
     return both / 2**strip
 
 
+def _together(reach: int, levels: int) -> float:
+    """Chance that two fingerprints reach bits apart share a list of one repetition. All centres of a level meet the same strip, so the chance that one of them is near both is taken for each number of bits that differ there, and the strips of a repetition share no coordinate."""
+    caught = [1 - (1 - _near(STRIP, WEIGHT, d)) ** CENTRES for d in range(STRIP + 1)]
+    if STRIP * levels > BITS:  # strips drawn with repeats
+        share = reach / BITS
+        return sum(math.comb(STRIP, d) * share**d * (1 - share) ** (STRIP - d) * c for d, c in enumerate(caught)) ** levels
+    chance = {reach: 1.0}
+    for left in range(BITS, BITS - STRIP * levels, -STRIP):
+        after: dict[int, float] = {}
+        for differ, p in chance.items():
+            for d, c in enumerate(caught):
+                if d <= differ and STRIP - d <= left - differ:
+                    ways = math.comb(differ, d) * math.comb(left - differ, STRIP - d) / math.comb(left, STRIP)
+                    after[differ - d] = after.get(differ - d, 0.0) + p * ways * c
+        chance = after
+    return sum(chance.values())
+
+
 class Search:
     """The filters for n fingerprints: levels, repetitions and, drawn from the seed, strips and centres."""
 
     def __init__(self, n: int, reach: int = REACH, recall: float = RECALL, seed: int = SEED, small: int = LIST):
         passed = sum(math.comb(STRIP, k) for k in range(WEIGHT + 1)) / 2**STRIP
         self.levels = max(1, math.ceil(math.log(max(1.0, n / small)) / math.log(1 / passed)))
-        level = 1 - (1 - _near(STRIP, WEIGHT, reach / BITS)) ** CENTRES
-        self.repetitions = math.ceil(math.log(1 - recall) / math.log1p(-(level**self.levels)))
+        self.repetitions = math.ceil(math.log(1 - recall) / math.log1p(-_together(reach, self.levels)))
         rng = np.random.default_rng(seed)
         shape = (self.repetitions, self.levels)
         self.coordinates = np.stack([rng.permutation(BITS)[: STRIP * self.levels].reshape(self.levels, STRIP) if STRIP * self.levels <= BITS else rng.integers(0, BITS, (self.levels, STRIP)) for _ in range(self.repetitions)])

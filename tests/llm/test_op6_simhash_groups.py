@@ -99,3 +99,18 @@ def test_components_of_chains(spark):
     random.Random(1).shuffle(edges)
     got = {r.node: r.root for r in G.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 111)} | {200: 100}
+
+
+@pytest.mark.parametrize("n, levels", [(1000, 1), (300_000, 2), (1_000_000, 3)])
+def test_recall_at_exactly_reach_bits(n, levels):
+    r, pairs = np.random.default_rng(2), 4000
+    base = r.integers(0, 1 << 63, (pairs, G.LANES), dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, (pairs, G.LANES), dtype=np.uint64)
+    flip = (r.random((pairs, G.BITS)).argsort(1) < G.REACH).astype(np.uint8)
+    other = base ^ np.packbits(flip, axis=1, bitorder="little").view(np.uint64)
+    s = G.Search(n)
+    met = np.zeros(pairs, dtype=bool)
+    for rows, path in s.members(np.concatenate([base, other])):
+        code = path * pairs + rows % pairs
+        met[np.intersect1d(code[rows < pairs], code[rows >= pairs]) % pairs] = True
+    assert s.levels == levels
+    assert met.mean() >= G.RECALL - 3 * (G.RECALL * (1 - G.RECALL) / pairs) ** 0.5
