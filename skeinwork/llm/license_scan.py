@@ -2,7 +2,9 @@ r"""License scans by diagonal voting.
 
 All rolling hashes of K words of a text meet the positions of the same hashes in the templates in a Spark join. Each meeting
 votes for the diagonal word - position of its template; neighbouring diagonals (a few words put in or left out) are merged
-into one span, and a span counts if it covers enough of its template. The templates are a constant of a few hundred words, so
+into one span, and a span counts if it covers enough of its template and no telling word refutes it: another number where the
+template has the version that its label names, or a word of KINDS inside the span that the template hasn't. Of two spans that
+overlap, the one with the more covered grams stays, then that of the higher share; equal ones both stay. The templates are a constant of a few hundred words, so
 the join broadcasts them, and a bitmap of their hashes drops, before the join and without loss, what cannot meet any.
 
 Phrases (the base) are found exactly: their words stand one after the other, compared as text and not only by hash.
@@ -23,6 +25,8 @@ from .common import map_arrow, slices, table
 from .words import HashSet, Words
 
 K, APART, ENOUGH = 3, 3, 0.6
+#: Words that make another license of one that goes on alike, and how far from a hit telling words are kept.
+KINDS, AROUND = ("lesser", "library", "affero", "noncommercial", "sharealike", "noderivatives", "noderivs", "nc", "sa", "nd"), 8
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 #: (label, wording): short notices as they stand at the head or foot of a text.
 TEMPLATES = [
@@ -47,6 +51,16 @@ TEMPLATES = [
 ]
 
 
+def template_versions(templates=TEMPLATES) -> list[tuple[int, str | None, int | None, list[str]]]:
+    """(template, version that its label names, its position, the kinds that the wording has)."""
+    rows = []
+    for t, (label, wording) in enumerate(templates):
+        words, version = wording.split(), label.rpartition("-")[2]
+        named = version.isdigit() and version in words
+        rows.append((t, version if named else None, words.index(version) if named else None, [x for x in KINDS if x in words]))
+    return rows
+
+
 def template_grams(templates=TEMPLATES, k: int = K) -> list[tuple[int, int, int, str, int]]:
     """(hash as a signed long, template, position, label, grams of the template)."""
     rows = []
@@ -56,14 +70,14 @@ def template_grams(templates=TEMPLATES, k: int = K) -> list[tuple[int, int, int,
     return rows
 
 
-SCHEMA = "key long, doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, hits array<struct<hash:long,word:long>>"
+SCHEMA = "key long, doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, hits array<struct<hash:long,word:long>>, telling array<struct<word:long,token:string>>"
 
 
 def _scanner(phrases: dict[str, str], hashes: list[int], k: int):
     known = HashSet(np.array(hashes, dtype=np.int64).astype(np.uint64))
     bases = [(p.split(" "), label, Words([p]).grams(len(p.split(" ")))[1]) for p, label in phrases.items()]
     lengths = sorted({len(p) for p, _, _ in bases})
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base", pa.list_(pa.string())), ("hits", pa.list_(pa.struct([("hash", pa.int64()), ("word", pa.int64())])))])
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base", pa.list_(pa.string())), ("hits", pa.list_(pa.struct([("hash", pa.int64()), ("word", pa.int64())]))), ("telling", pa.list_(pa.struct([("word", pa.int64()), ("token", pa.string())])))])
 
     def scan(batch):
         ids, texts, keys = (batch.column(i).to_pylist() for i in range(3))
@@ -85,10 +99,20 @@ def _scanner(phrases: dict[str, str], hashes: list[int], k: int):
             for i, x in zip(at[where], h[where].astype(np.int64)):
                 d = w.doc[i]
                 hits[d].append({"hash": int(x), "word": int(i - w.first[d])})
+            # Numbers and kinds near a hit; a v before a number isn't part of it.
+            near = np.zeros(len(w.hash) + 1, dtype=np.int64)
+            np.add.at(near, np.maximum(at[where] - AROUND, 0), 1)
+            np.add.at(near, np.minimum(at[where] + k + AROUND, len(w.hash)), -1)
+            telling: list[list[dict]] = [[] for _ in range(b - a)]
+            for i in np.flatnonzero(np.cumsum(near[:-1]) > 0):
+                token = w.word(i)
+                number = token[token[:1] == "v" :]
+                if token in KINDS or number.isascii() and number.isdigit():
+                    telling[w.doc[i]].append({"word": int(i - w.first[w.doc[i]]), "token": token if token in KINDS else number})
             columns = [
                 keys[a:b], ids[a:b], [int(x) for x in n], [len(f) for f in found],
                 [min(f)[0] if f else None for f in found], [max(f)[0] if f else None for f in found],
-                [sorted({x for _, x in f}) for f in found], hits,
+                [sorted({x for _, x in f}) for f in found], hits, telling,
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -105,9 +129,9 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
     scanned = map_arrow(rows, _scanner(phrases, [g[0] for g in grams], k), SCHEMA)
     # As many rows as the templates have words: a constant.
     places = F.broadcast(docs.sparkSession.createDataFrame(grams, "hash long, template int, position int, label string, grams int"))
-    votes = scanned.where(F.size("hits") > 0).select("key", F.explode("hits").alias("hit")).select("key", "hit.hash", "hit.word").join(places, "hash")
+    votes = scanned.where(F.size("hits") > 0).select("key", "telling", F.explode("hits").alias("hit")).select("key", "telling", "hit.hash", "hit.word").join(places, "hash")
     votes = votes.withColumn("diagonal", F.col("word") - F.col("position"))
-    diagonals = votes.groupBy("key", "template", "label", "grams", "diagonal").agg(F.collect_set("position").alias("positions"))
+    diagonals = votes.groupBy("key", "template", "label", "grams", "diagonal").agg(F.collect_set("position").alias("positions"), F.first("telling").alias("telling"))
     order = Window.partitionBy("key", "template").orderBy("diagonal")
     fresh = (F.col("diagonal") - F.lag("diagonal").over(order) > apart).cast("int")
     spans = diagonals.withColumn("span", F.sum(F.coalesce(fresh, F.lit(1))).over(order))
@@ -115,14 +139,26 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
         F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("covered"),
         F.min(F.col("diagonal") + F.array_min("positions")).alias("first_word"),
         F.max(F.col("diagonal") + F.array_max("positions") + k - 1).alias("last_word"),
+        F.min("diagonal").alias("low"),
+        F.max("diagonal").alias("high"),
+        F.first("telling").alias("telling"),
     )
     spans = spans.withColumn("score", F.col("covered") / F.col("grams")).where(F.col("score") >= enough)
-    # Wordings share their stock phrases: of spans that overlap, those that cover the most of their template stay.
+    versions = F.broadcast(docs.sparkSession.createDataFrame(template_versions(templates), "template int, version string, version_at int, kinds array<string>"))
+    spans = spans.join(versions, "template")
+    stated = F.filter("telling", lambda t: (t["word"] - F.col("version_at")).between(F.col("low") - apart, F.col("high") + apart) & t["token"].rlike("^[0-9]+$"))
+    other = F.coalesce(F.get(F.array_sort(stated), F.lit(0))["token"] != F.col("version"), F.lit(False))
+    kind = F.exists("telling", lambda t: t["word"].between(F.col("first_word"), F.col("last_word")) & t["token"].isin(*KINDS) & ~F.array_contains("kinds", t["token"]))
+    spans = spans.where(~other & ~kind)
+    # Wordings share their stock phrases: of spans that overlap, the best covered stays, and a span that went takes no other along. Only spans of one chain can overlap.
     place = Window.partitionBy("key").orderBy("first_word", "last_word", "template", "span")
     apart_ = F.col("first_word") > F.max("last_word").over(place.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("place", F.sum(F.coalesce(apart_.cast("int"), F.lit(1))).over(place))
-    spans = spans.withColumn("best", F.max(F.struct("score", "covered")).over(Window.partitionBy("key", "place"))).where(F.struct("score", "covered") == F.col("best"))
-    return scanned.drop("hits"), spans.select("key", "template", "label", "first_word", "last_word", "score")
+    chain = spans.groupBy("key", "place").agg(F.sort_array(F.collect_list(F.struct("covered", "score", "template", "label", "first_word", "last_word")), asc=False).alias("chain"))
+    better = lambda y, x: (y["first_word"] <= x["last_word"]) & (x["first_word"] <= y["last_word"]) & ((y["covered"] > x["covered"]) | ((y["covered"] == x["covered"]) & (y["score"] > x["score"])))
+    kept = F.aggregate("chain", F.slice("chain", 1, 0), lambda held, x: F.when(F.exists(held, lambda y: better(y, x)), held).otherwise(F.concat(held, F.array(x))))
+    spans = chain.select("key", F.explode(kept).alias("s")).select("key", "s.*")
+    return scanned.drop("hits", "telling"), spans.select("key", "template", "label", "first_word", "last_word", "score")
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

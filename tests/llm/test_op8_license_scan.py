@@ -68,3 +68,21 @@ def test_spans(documents, prose):
 def test_empty(documents, spark, tmp_path):
     documents([]).write.parquet(f"{tmp_path}/documents.parquet")
     assert L.op8_license_scan(spark, str(tmp_path)).count() == 0
+
+
+def test_versions_kinds_and_overlaps(spark, documents, tmp_path):
+    gpl, cc = "GNU General Public License", "Creative Commons Attribution"
+    rows = {
+        f"Licensed under the {gpl}, version 3.": "gpl-3", f"This program is licensed under the {gpl}, version 3": "gpl-3", f"x licensed under the {gpl}, version 2 y": "gpl-2", f"This work is licensed under the {gpl}, version 2.": "gpl-2",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "lgpl", "This work is licensed under the GNU Affero General Public License, version 3.": "agpl-3", "Licensed under the Apache License, Version 1.2": "",
+        f"Licensed under a {cc}-NonCommercial 4.0 International License": "cc-by-nc", f"Licensed under a {cc} 4.0 International License": "cc-by", "licensed under CC BY-SA 3.0 licensed under CC BY-SA 4.0": "cc-by-sa",
+    }
+    documents(list(enumerate(rows))).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.labels for r in L.op8_license_scan(spark, str(tmp_path)).collect()}
+    assert [(t, got[i]) for i, t in enumerate(rows)] == list(rows.items())
+
+
+def test_a_span_that_went_takes_no_other_along(documents):
+    one, two, three = "a b c d e f g h", "g h i j k l", "k l m n o"
+    _, spans = L.scan_licenses(documents([(1, "a b c d e f g h i j k l m n o")]), templates=[("one", one), ("two", two), ("three", three)])
+    assert sorted(r.label for r in spans.collect()) == ["one", "three"]
