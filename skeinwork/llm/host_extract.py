@@ -1,7 +1,9 @@
 r"""Main text of web pages: markup first, then a suffix array over each host.
 
 A page is read once, in linear time, into blocks of text. Navigation, headers, footers, asides, forms, scripts, notices,
-adverts and comments go by element, role, class and id. Where a page says which part is the article (or main), its blocks are
+adverts and comments go by element, role, class and id. A class or id counts as a whole or as a compound of known words, and takes
+out no element around an article or main, nor one with most of the page's text; inside an article it always counts, and inside
+main unless the page has no other article. Where a page says which part is the article (or main), its blocks are
 the text. Where it says nothing, the host decides: the token streams of all such pages of a host are concatenated, a suffix
 array finds the runs of RUN tokens or more that stand on at least max(PAGES, SHARE of the host's such pages) distinct pages,
 and what these cover is boilerplate; the unique runs of each block stay.
@@ -41,48 +43,67 @@ MARKS = {
     "sidebar", "footer", "cookie", "cookies", "consent", "gdpr", "notice", "banner", "newsletter", "subscribe", "signup", "popup", "modal", "overlay", "comment", "comments", "disqus",
     "replies", "respond", "related", "recommended", "share", "sharing", "social", "widget", "pagination", "pager", "masthead", "topbar", "toolbar", "skip", "login", "search", "alert",
 }
+#: Words that make a compound with a mark: site-footer, comment-list.
+BESIDE = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "container", "content", "fixed", "form", "global", "group", "header", "icon", "icons", "inner", "item", "items", "left", "line", "link", "links",
+    "list", "main", "media", "mobile", "page", "panel", "post", "posts", "primary", "right", "row", "secondary", "section", "side", "site", "slot", "sticky", "text", "title", "to", "top", "unit", "wrap", "wrapper",
+}
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
 
 
-def _excluded(name: str, attributes: str, inside: int) -> bool:
-    """Whether an element's own tag takes it out of the text."""
+HARD, SOFT = 2, 1
+
+
+def _marked(value: str, inside: int) -> bool:
+    """Whether one of the names in a class or id is a mark, or a compound of marks and words beside them."""
+    for name in value.split():
+        parts = [x for x in re.split(r"[_-]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if x]
+        marks = [x in MARKS or x == "header" and not inside for x in parts]
+        if any(marks) and all(m or x in BESIDE or x[0].isdigit() for x, m in zip(parts, marks)):
+            return True
+    return False
+
+
+def _excluded(name: str, attributes: str, inside: int, nested: bool = False) -> int:
+    """HARD if an element's own tag takes it out of the text, SOFT if only its class or id does; nested tells of an article inside an article."""
     if name in DROP or name == "header" and not inside:
-        return True
-    if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return HARD
+    if not attributes or name in ("html", "body", "main") or name == "article" and not nested:
+        return 0
+    soft = 0
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return HARD
         if key == "role" and value.lower() in ROLES:
-            return True
+            return HARD
         if key == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-        if key in ("class", "id") and any(x in MARKS or x == "header" and not inside for x in re.split(r"[\s_-]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower())):
-            return True
-    return False
+            return HARD
+        if key in ("class", "id") and _marked(value, inside):
+            soft = SOFT
+    return soft
 
 
 def blocks(html: str | None) -> list[tuple[int, str]]:
     """(level, text) of the page's blocks in order: 2 in an article, 1 in main, 0 elsewhere; what is excluded is left out."""
     html = html or ""
-    out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int, bool]] = []  # name, level, excluded
+    out: list[tuple[int, list[tuple[str, int]]]] = []
+    stack: list[tuple[str, int, bool, int]] = []  # name, level, excluded, innermost soft element or -1
+    soft: list[list] = []  # outer soft element, level around it, whether it holds an article or main
     open_: Counter = Counter()
-    held: list[str] = []
+    held: list[tuple[str, int]] = []
     last = {q: html.rfind(q) for q in "\"'"}
 
     def flush() -> None:
         nonlocal held
         if held:
-            if text := " ".join(unescape("".join(held)).split()):
-                out.append((stack[-1][1] if stack else 0, text))
+            out.append((stack[-1][1] if stack else 0, held))
             held = []
 
     def pop(to: int) -> None:
-        for name, _, _ in stack[to:]:
+        for name, *_ in stack[to:]:
             open_[name] -= 1
         del stack[to:]
 
@@ -101,7 +122,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
         m = MARKUP.search(html, at)
         a = m.start() if m else n
         if a > at and not (stack and stack[-1][2]):
-            held.append(html[at:a])
+            held.append((html[at:a], stack[-1][3] if stack else -1))
         if not m:
             break
         if html.startswith("<!--", a):
@@ -144,10 +165,11 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
             if name in ITEM and name != "p":
                 close(name, ITEM[name])
         elif name == "br":
-            held.append(" ")
+            held.append((" ", -1))
         if name in VOID:
             continue
-        level, excluded = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        level, excluded, around = stack[-1][1:] if stack else (0, False, -1)
+        outer = level
         attributes = html[found.end() : end]
         if name == "article":
             level = 2
@@ -155,11 +177,45 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
             level = max(level, 1)
         elif "articleBody" in attributes:
             level = 2
-        excluded = excluded or _excluded(name, attributes, level)
+        how = _excluded(name, attributes, level, outer == 2)
+        excluded = excluded or how == HARD
+        if not excluded and (level > outer or name in ("article", "main")):
+            x = around
+            while x >= 0 and not soft[x][2]:
+                soft[x][2] = True
+                x = soft[x][0]
+        if how == SOFT and not excluded and (not attributes.endswith("/") or name in BLOCK):
+            # An element that is itself marked as the article is not taken out by its class.
+            soft.append([around, outer, level > outer])
+            around = len(soft) - 1
         if not attributes.endswith("/") or name in BLOCK:
-            stack.append((name, level, excluded))
+            stack.append((name, level, excluded, around))
             open_[name] += 1
     flush()
+    return _settle(out, soft)
+
+
+def _settle(found: list[tuple[int, list[tuple[str, int]]]], soft: list[list]) -> list[tuple[int, str]]:
+    """The blocks without the soft elements that stay excluded."""
+    chars, whole, plain = [0] * len(soft), 0, False
+    for level, held in found:
+        for text, x in held:
+            n = len("".join(text.split()))
+            whole += n
+            plain |= level == 2 and x < 0 and n > 0
+            if x >= 0:
+                chars[x] += n
+    for x in range(len(soft) - 1, -1, -1):
+        if soft[x][0] >= 0:
+            chars[soft[x][0]] += chars[x]
+    gone = []
+    for x, (outer, level, holds) in enumerate(soft):
+        spared = level == 0 and (holds or 2 * chars[x] > whole) or level == 1 and holds and not plain
+        gone.append(not spared or outer >= 0 and gone[outer])
+    out = []
+    for level, held in found:
+        if text := " ".join(unescape("".join(t for t, x in held if x < 0 or not gone[x])).split()):
+            out.append((level, text))
     return out
 
 

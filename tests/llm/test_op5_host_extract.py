@@ -82,3 +82,18 @@ def test_driver_pages(spark):
         body = re.search("<article>(.*?)</article>", p.html, re.S).group(1)
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", body)]
         assert got[p.page_id] == "\n".join(x for x in parts if x)
+
+
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "class=no-sidebar", "class='elementor-widget-container'", "id=search-results-page", "class=widget", "class='overlay banner'"])
+def test_class_takes_no_article_along(wrapper):
+    page = "<nav>menu</nav><div class=ad-box>advert</div><div {}>{}<p>text</p><section id=social-history>a</section><div id=share-prices>b</div><div class=related-work>c</div><div class=social-share>no</div><article class=comment>no</article>{}</div>"
+    in_main = page.replace("<article class=comment>no</article>", "").format(wrapper, "<main>", "</main>")
+    assert H.main_text(in_main) == ("text\na\nb\nc", [])
+    assert H.main_text(page.format(wrapper, "<article>", "</article>")) == ("text\na\nb\nc", [])
+    assert H.main_text(f"<main><div {wrapper}><article>x</article></div></main>") == ("x", [])
+    assert H.main_text(f"<div class=ad>advert</div><div {wrapper}><p>most of the text of the page</div>") == (None, ["most of the text of the page"])
+
+
+def test_teasers_stay_out_of_the_text():
+    assert H.main_text("<main><article>x</article><div class=related><article>teaser with more text</article></div></main>") == ("x", [])
+    assert H.main_text("<article>x<div class='comments'><article>longer than the text</article></div></article>") == ("x", [])
