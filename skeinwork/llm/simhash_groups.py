@@ -3,11 +3,15 @@
 A text's fingerprint has BITS bits: the signs of the sum of +-1 vectors of its distinct words and word pairs. Texts are linked
 if their fingerprints differ in REACH bits at most, and the groups are the connected components of the links.
 
-Search: in each of many repetitions a fingerprint meets, level by level, a strip of STRIP random coordinates and CENTRES random
-points on it, and goes on into the lists of those points from which its partial weight is WEIGHT at most. Each level cuts the
-lists by the same factor; there are as many levels as bring them to LIST fingerprints, and as many repetitions as find a pair
-at distance REACH with probability RECALL (nearer pairs more surely). The last lists are searched by brute force. A list above
-SPLIT rows is cut into blocks, and each pair of blocks is a task of its own: nothing is capped.
+Search: in each of many repetitions a fingerprint meets, level by level, a strip of random coordinates and the centres of a
+perfect code on it, shifted at random, and goes on into the list of the centre from which its partial weight on the strip is at
+most the code's radius. A perfect code has exactly one such centre, so a level costs no more rows than it gets: with random
+centres (the first version: strips of 8, weight 1, 16 centres) a fingerprint was in several lists or in none, and two levels
+took 54 rows a fingerprint where these take 30, three took over 300 where these take 80. The codes are Golay's (strips of 23,
+weight 3, 4096 lists) and Hamming's (strips of 7, weight 1, 16 lists), as many of each as bring the lists to LIST fingerprints;
+there are as many repetitions as find a pair at distance REACH with probability RECALL (nearer pairs more surely). The last
+lists are searched by brute force. A list above SPLIT rows is cut into blocks, and each pair of blocks is a task of its own:
+nothing is capped.
 
 Equal texts are combined before all that, equal fingerprints next. A list or block sends on a spanning forest of its links,
 never all pairs; the components come from alternating large-star and small-star steps, whose tables are written to the shared
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +37,7 @@ from .common import map_arrow, settled, slices, table
 from .words import Words, mix
 
 BITS, REACH = 256, 60
-STRIP, WEIGHT, CENTRES = 8, 1, 16
-LIST, SPLIT, RECALL, SEED = 1024, 4096, 0.95, 9
+LIST, SPLIT, RECALL, SEED = 4096, 8192, 0.95, 9
 LANES = BITS // 64
 LANE_COLUMNS = [f"f{i}" for i in range(LANES)]
 FEATURE = np.uint64((1 << 44) - 1)
@@ -93,60 +97,82 @@ def printed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("doc_id", text_key().alias("text_key"), "text"), _print_batch, f"doc_id long, text_key string, {lanes}")
 
 
-def _near(strip: int, weight: int, apart: int) -> float:
-    """Share of the points of a strip that lie near both of two fingerprints which differ there in apart bits."""
-    both = 0
-    for a in range(apart + 1):
-        for b in range(strip - apart + 1):
-            if max(a, apart - a) + b <= weight:
-                both += math.comb(apart, a) * math.comb(strip - apart, b)
-    return both / 2**strip
-
-
-def _together(reach: int, levels: int) -> float:
-    """Chance that two fingerprints reach bits apart share a list of one repetition. All centres of a level meet the same strip, so the chance that one of them is near both is taken for each number of bits that differ there, and the strips of a repetition share no coordinate."""
-    caught = [1 - (1 - _near(STRIP, WEIGHT, d)) ** CENTRES for d in range(STRIP + 1)]
-    if STRIP * levels > BITS:  # strips drawn with repeats
-        share = reach / BITS
-        return sum(math.comb(STRIP, d) * share**d * (1 - share) ** (STRIP - d) * c for d, c in enumerate(caught)) ** levels
-    chance = {reach: 1.0}
-    for left in range(BITS, BITS - STRIP * levels, -STRIP):
+class Code:
+    """A perfect code: every point of its strip lies within `weight` of exactly one centre. owner: the centre's number by point; caught: chance that two points d apart have one centre, by d."""
+
+    made: dict[int, Code] = {}
+
+    def __init__(self, strip: int, weight: int, generator: int):
+        self.strip, self.weight = strip, weight
+        free = strip - generator.bit_length() + 1
+        centres = np.zeros(1, dtype=np.int64)
+        for i in range(free):  # all sums of shifts of the generator
+            centres = np.concatenate([centres, centres ^ (generator << i)])
+        self.centres, self.bits = len(centres), free
+        ball = np.array([sum(1 << i for i in at) for w in range(weight + 1) for at in combinations(range(strip), w)])
+        self.owner = np.empty(1 << strip, dtype=np.int16)
+        for e in ball:
+            self.owner[centres ^ e] = np.arange(len(centres))
+        apart = np.zeros(strip + 1)
+        for e in ball:
+            apart += np.bincount(np.bitwise_count(ball ^ e), minlength=strip + 1)
+        self.caught = [apart[d] / len(ball) / math.comb(strip, d) for d in range(strip + 1)]
+
+    @classmethod
+    def get(cls, strip: int) -> Code:
+        """The code of a strip of 7 or 23, made once a process."""
+        if strip not in cls.made:
+            cls.made[strip] = cls(7, 1, 0b1011) if strip == 7 else cls(23, 3, 0b101011100011)
+        return cls.made[strip]
+
+
+def levels_for(n: int, small: int = LIST) -> list[int]:
+    """Strips, one a level, that bring lists of n fingerprints to about `small` ones: each 23 cuts by 2^12, each 7 by 2^4."""
+    bits = max(1.0, math.log2(max(1.0, n / small)))
+    golay, rest = divmod(bits, 12)
+    if rest > 8:
+        golay, rest = golay + 1, 0
+    return [23] * int(golay) + [7] * math.ceil(rest / 4)
+
+
+def together(reach: int, strips: list[int]) -> float:
+    """Chance that two fingerprints reach bits apart share the list of one repetition, whose strips have no coordinate in common."""
+    chance, left = {reach: 1.0}, BITS
+    for strip in strips:
+        caught = Code.get(strip).caught
         after: dict[int, float] = {}
         for differ, p in chance.items():
             for d, c in enumerate(caught):
-                if d <= differ and STRIP - d <= left - differ:
-                    ways = math.comb(differ, d) * math.comb(left - differ, STRIP - d) / math.comb(left, STRIP)
+                if c and d <= differ and strip - d <= left - differ:
+                    ways = math.comb(differ, d) * math.comb(left - differ, strip - d) / math.comb(left, strip)
                     after[differ - d] = after.get(differ - d, 0.0) + p * ways * c
-        chance = after
+        chance, left = after, left - strip
     return sum(chance.values())
 
 
 class Search:
-    """The filters for n fingerprints: levels, repetitions and, drawn from the seed, strips and centres."""
+    """The filters for n fingerprints: strips and repetitions and, drawn from the seed, the strips' coordinates and the codes' shifts."""
 
     def __init__(self, n: int, reach: int = REACH, recall: float = RECALL, seed: int = SEED, small: int = LIST):
-        passed = sum(math.comb(STRIP, k) for k in range(WEIGHT + 1)) / 2**STRIP
-        self.levels = max(1, math.ceil(math.log(max(1.0, n / small)) / math.log(1 / passed)))
-        self.repetitions = math.ceil(math.log(1 - recall) / math.log1p(-_together(reach, self.levels)))
+        self.strips = levels_for(n, small)
+        self.repetitions = math.ceil(math.log(1 - recall) / math.log1p(-min(together(reach, self.strips), 1 - 1e-12)))
         rng = np.random.default_rng(seed)
-        shape = (self.repetitions, self.levels)
-        self.coordinates = np.stack([rng.permutation(BITS)[: STRIP * self.levels].reshape(self.levels, STRIP) if STRIP * self.levels <= BITS else rng.integers(0, BITS, (self.levels, STRIP)) for _ in range(self.repetitions)])
-        self.centres = rng.integers(0, 1 << STRIP, (*shape, CENTRES))
-        self.weigh = np.array([bin(v).count("1") for v in range(1 << STRIP)])
+        ends = np.cumsum([0, *self.strips])
+        drawn = [rng.permutation(BITS)[: ends[-1]] for _ in range(self.repetitions)]
+        self.coordinates = [[order[a:b] for a, b in zip(ends[:-1], ends[1:])] for order in drawn]
+        self.shifts = [[int(rng.integers(0, 1 << s)) for s in self.strips] for _ in range(self.repetitions)]
 
     def members(self, lanes: np.ndarray):
-        """(row, list) pairs of some fingerprints, a chunk for every few repetitions."""
-        bits = np.unpackbits(lanes.view(np.uint8).reshape(len(lanes), -1), axis=1, bitorder="little").T.copy()
-        every = np.arange(1 << STRIP)
+        """(row, list) pairs of some fingerprints, a chunk for every repetition; a row is in one list of each."""
+        bits = np.unpackbits(lanes.view(np.uint8).reshape(len(lanes), -1), axis=1, bitorder="little").T.astype(np.int32)
+        rows = np.arange(len(lanes))
         for r in range(self.repetitions):
-            rows, path = np.arange(len(lanes)), np.full(len(lanes), r, dtype=np.int64)
-            for level in range(self.levels):
-                code = np.zeros(len(lanes), dtype=np.int64)
-                for k, c in enumerate(self.coordinates[r, level]):
-                    code |= bits[c].astype(np.int64) << k
-                inside = self.weigh[every[:, None] ^ self.centres[r, level][None, :]] <= WEIGHT
-                i, c = np.nonzero(inside[code[rows]])
-                rows, path = rows[i], path[i] * CENTRES + c
+            path = np.full(len(lanes), r, dtype=np.int64)
+            for strip, coordinates, shift in zip(self.strips, self.coordinates[r], self.shifts[r]):
+                code, point = Code.get(strip), np.full(len(lanes), shift, dtype=np.int32)
+                for k, c in enumerate(coordinates):
+                    point ^= bits[c] << k
+                path = path * code.centres + code.owner[point]
             yield rows, path
 
 

@@ -63,13 +63,13 @@ def test_recall_meets_the_target():
     for i in range(400):
         flip[i, r.permutation(G.BITS)[: G.REACH]] = 1
     other = base ^ np.packbits(flip, axis=1, bitorder="little").view(np.uint64)
-    for n in (1000, 300_000):
+    for n, strips in ((1000, [7]), (300_000, [7, 7]), (20_000_000, [23, 7])):
         s = G.Search(n)
         met = np.zeros(400, dtype=bool)
         for rows, path in s.members(np.concatenate([base, other])):
             a, b = set(zip(rows[rows < 400], path[rows < 400])), set(zip(rows[rows >= 400] - 400, path[rows >= 400]))
             met[[i for i, _ in a & b]] = True
-        assert met.mean() > 0.9 and s.levels == (1 if n == 1000 else 2)
+        assert met.mean() > 0.9 and s.strips == strips
 
 
 def test_distinct_documents(spark, documents, prose):
@@ -101,8 +101,8 @@ def test_components_of_chains(spark):
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 111)} | {200: 100}
 
 
-@pytest.mark.parametrize("n, levels", [(1000, 1), (300_000, 2), (1_000_000, 3)])
-def test_recall_at_exactly_reach_bits(n, levels):
+@pytest.mark.parametrize("n, strips", [(1000, [7]), (300_000, [7, 7]), (14_000_000, [23]), (200_000_000, [23, 7])])
+def test_recall_at_exactly_reach_bits(n, strips):
     r, pairs = np.random.default_rng(2), 4000
     base = r.integers(0, 1 << 63, (pairs, G.LANES), dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, (pairs, G.LANES), dtype=np.uint64)
     flip = (r.random((pairs, G.BITS)).argsort(1) < G.REACH).astype(np.uint8)
@@ -112,5 +112,33 @@ def test_recall_at_exactly_reach_bits(n, levels):
     for rows, path in s.members(np.concatenate([base, other])):
         code = path * pairs + rows % pairs
         met[np.intersect1d(code[rows < pairs], code[rows >= pairs]) % pairs] = True
-    assert s.levels == levels
+    assert s.strips == strips
     assert met.mean() >= G.RECALL - 3 * (G.RECALL * (1 - G.RECALL) / pairs) ** 0.5
+
+
+def test_codes_are_perfect():
+    for strip, weight in ((7, 1), (23, 3)):
+        code = G.Code.get(strip)
+        assert np.array_equal(np.bincount(code.owner), np.full(code.centres, 2**strip // code.centres))
+        centre = np.zeros(code.centres, dtype=np.int64)
+        total = np.zeros((code.centres, strip))
+        points = np.arange(1 << strip)
+        for k in range(strip):
+            total[:, k] = np.bincount(code.owner, weights=points >> k & 1)
+            centre |= (2 * total[:, k] > 2**strip // code.centres).astype(np.int64) << k
+        assert np.bitwise_count(points ^ centre[code.owner]).max() == weight
+
+
+def test_work_grows_with_a_power_below_one_half():
+    """Rows a fingerprint at the shipped setting, from thousands to billions of texts."""
+    rows = {n: G.Search(n).repetitions for n in (16_000, 250_000, 14_000_000, 200_000_000, 1_000_000_000)}
+    assert rows[250_000] <= 32 and all(k <= rows[250_000] * (n / 250_000) ** 0.5 for n, k in rows.items() if n > 250_000)
+
+
+@pytest.mark.parametrize("small", [4096, 40, 2])
+def test_recall_of_groups_on_texts_at_the_shipped_setting(documents, prose, small):
+    rows = [(i, prose(i, 80)) for i in range(120)] + [(1000 + i, edit(prose(i % 120, 80), i, 0.05)) for i in range(240)]
+    group, links = brute([t for _, t in rows])
+    got = {r.doc_id: r.class_id for r in G.near_duplicates(documents(rows), small=small).collect()}
+    right = sum(got[i] == rows[g][0] for (i, _), g in zip(rows, group))
+    assert sum(links) > 300 and right >= 0.95 * len(rows)
