@@ -1,19 +1,23 @@
 r"""Personal data by bootstrapped contextual extraction.
 
-The base finds e-mail and IP addresses, card and phone numbers by their form. These are the seeds: each takes its place among
-the instances with known answer. Every identifier-like token of the corpus (it holds a digit or an @) is an instance of the
-lexical patterns around it: the word before it with the shape of what stands between, the two words before it, and the word
-after it, each with the token's shape. Spark scores the graph of patterns and instances in rounds: a pattern's confidence is the
-smoothed share of its instances that are believed, an instance's belief is the noisy-or of its patterns' confidence; seeds stay
-at 1. Patterns that come to hold with SURE confidence and SUPPORT distinct instances then mark the identifiers that no form of
-the base covers, as kind `id`.
+The base finds e-mail and IP addresses, card and phone numbers by their form. Kind `id` is found by bootstrapping. Instances are
+the base's spans, IBANs, and every identifier-like token: one with a digit or an @, or one in quotes after an assignment sign.
+Each is an instance of the lexical patterns around it, which say nothing of the token itself: the word before it with the signs
+between, the two words before it, the word after it, and both sides.
 
-Identifiers are seeds too where the text says what they are: KEYWORDS, a short list in several languages, starts the rounds
-for kinds that the base has no form for (tokens, account and passport numbers).
+Seeds, whose belief is 1: the base's spans; IBANs with a right check number; and SEEDS distinct tokens of the corpus, those with
+the least hash among the ones of a key's form (KEY: 16 or more letters and digits, both) that stand by one of the CUES. No other
+token is believed for its form or for the word beside it. Counter-examples, whose belief is 0: what has a form of the base and
+fails its test, and PLAIN numbers (years and ranges of years, counts, decimals, versions, dates, times).
 
-What moves between nodes is (pattern, instance) pairs, of tokens that look like identifiers alone; texts stay where they are.
-Counts are over distinct instances, combined on the map side, so that a pattern or a copied passage with a third of all rows
-is one row a partition.
+Spark scores the graph in rounds: a pattern's confidence is belief / (belief + counter-examples + PRIOR), summed over its
+distinct instances (one of unknown kind with no belief yet weighs nothing); an instance's belief is the noisy-or of its patterns'
+confidence. Patterns that end with SURE confidence and SUPPORT distinct believed instances mark every instance of unknown kind
+around which they stand, so an identifier is found that no seed and no list named. `n_discovered` counts those.
+
+What moves between nodes is (pattern, instance) pairs; texts stay where they are. Counts are over distinct instances, combined on
+the map side, so that a pattern or a copied passage with a third of all rows is one row a partition. A context reaches CONTEXT
+characters to either side of its token; the token and the text are taken whole.
 
 Cases: null is the empty text; a text of any length is read whole, in linear time; texts that repeat get the same spans; an
 empty table gives an empty result; extra columns are ignored.
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +36,14 @@ from pyspark.sql import functions as F
 from .common import map_arrow, settled, table
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SURE, SUPPORT, PRIOR = 3, 0.8, 3, 1.0
-KEYWORDS = "token secret password passwd apikey api_key key ssn iban passport account konto kontonummer ausweis compte passeport mot clave cuenta pasaporte contraseña dni nif license id".split()
+ROUNDS, SURE, SUPPORT, PRIOR, SEEDS, CONTEXT = 3, 0.8, 3, 1.0, 16, 64
+CUES = frozenset("token secret password passwd apikey key".split())
+#: What a seed beside a cue looks like.
+KEY = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9+/_-]{16,}")
+#: Numbers that identify nobody.
+PLAIN = re.compile(
+    r"[0-9]{1,4}(?:st|nd|rd|th|s|%)?|[0-9]{1,3}(?:[,.][0-9]{3})+|[vV]?[0-9]+(?:[.,][0-9]+)+%?|[0-9]{4}[-/\u2013][0-9]{2,4}|[0-9]{1,4}[-/.][0-9]{1,2}[-/.][0-9]{1,4}|[0-9]{1,2}(?::[0-9]{2}){1,2}(?:\.[0-9]+)?|[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.+Z-]+"
+)
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,8 +52,12 @@ _DOTTED = re.compile(r"[0-9][0-9.]*+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TOKEN = re.compile(r"\S*[0-9@]\S*+")
-_SPARE = "\"'`()[]{}<>,;:!?#*$%&|.="
+_SIGN = re.compile(r"[0-9@]")
+_BREAK = frozenset("\"'`=,;|<>(){}[]")
+_PIECE = re.compile(r"[^\s\"'`=,;|<>(){}\[\]]*")
+_QUOTED = re.compile(r"[=:]\s*([\"'])([^\s\"']+)\1")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_SPARE = ".:!?#*$%&~^"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -123,122 +138,163 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], Spans]:
     return [(k, a, b) for k, (a, b) in found], failed
 
 
-def shape(token: str) -> str:
-    """A token's form: runs of digits, letters and hex digits by class, with the length of long ones."""
-    if re.fullmatch(r"[0-9a-fA-F]{16,}", token) and not token.isdigit():
-        return f"hex{len(token)}"
-    out = re.sub(r"[0-9]+", "9", token)
-    out = re.sub(r"[^\W\d_]+", "a", out)
-    return out[:24] + (f"/{len(token)}" if token.isdigit() else "")
-
-
-def _words_before(text: str, at: int, most: int = 2) -> list[str]:
-    """The last words before a place, lower-cased, nearest first; signs that stand alone belong to the gap."""
-    words, end = [], at
-    low = max(0, at - 64)
-    for w in reversed(text[low:at].split()):
-        w = w.strip(_SPARE + "-+/").lower()
-        if w:
-            words.append(w)
-            if len(words) == most:
-                break
-    return words if end else []
-
+def iban(span: str) -> bool:
+    """Whether the check number is right."""
+    x = span.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
 
-def candidates(text: str) -> list[tuple[int, int, list[str], str]]:
-    """(start, end, patterns, instance) of the identifier-like tokens of a text.
 
-    A context is at most 64 characters to either side, whatever the text; the token is taken whole.
-    """
-    out = []
-    if not re.search(r"[0-9@]", text):
-        return out
-    for m in _TOKEN.finditer(text):
-        a, b = m.span()
+def tokens(text: str) -> Spans:
+    """Identifier-like tokens, left to right and apart: pieces between white space, quotes, brackets and signs of assignment or lists that hold a digit or an @, and quoted ones after an assignment."""
+    out, done = [], 0
+    m = _SIGN.search(text)
+    while m:
+        a = m.start()
+        while a > done and not text[a - 1].isspace() and text[a - 1] not in _BREAK:
+            a -= 1
+        done = b = _PIECE.match(text, m.start()).end()
         while a < b and text[a] in _SPARE:
             a += 1
         while b > a and text[b - 1] in _SPARE:
             b -= 1
-        if b - a < 6 or sum(c.isdigit() for c in text[a:b]) < 4:
-            continue
-        token = text[a:b]
-        form, left = shape(token), _words_before(text, a)
-        gap = re.sub(r"\s+", " ", text[max(0, a - 4) : a])
-        gap = "".join(c for c in gap if not c.isalnum())
-        after = text[b : b + 64].split()
-        right = after[0].strip(_SPARE).lower() if after else ""
-        patterns = []
-        if left:
-            patterns.append(f"l1|{left[0]}|{gap}|{form}")
-        if len(left) > 1:
-            patterns.append(f"l2|{left[1]}|{left[0]}|{form}")
+        if a < b:
+            out.append((a, b))
+        m = _SIGN.search(text, done)
+    held = set(out)
+    return sorted(held | {m.span(2) for m in _QUOTED.finditer(text) if not _SIGN.search(m.group(2))})
+
+
+_WORD = re.compile(r"\w+")
+_NUMBER = re.compile(r"[0-9]+")
+_WHITE = re.compile(r"\s+")
+
+
+def contexts(text: str, a: int, b: int, reach: int = CONTEXT) -> tuple[list[str], str]:
+    """(patterns of the place a to b, the word before it)."""
+    before, after = text[max(0, a - reach) : a].lower(), text[b : b + reach].lower()
+    words = [m for m in _WORD.finditer(before)][-2:]
+    named = [_NUMBER.sub("9", m.group()) for m in words]
+    left = _WHITE.sub(" ", before[words[-1].end() :]) if words else ""
+    m = _WORD.search(after)
+    right = f"{_WHITE.sub(' ', after[: m.start()])}|{_NUMBER.sub('9', m.group())}" if m else ""
+    out = []
+    if words:
+        out.append(f"l1|{named[-1]}|{left}")
+        if len(words) > 1:
+            out.append(f"l2|{named[0]}|{named[1]}|{left}")
         if right:
-            patterns.append(f"r1|{form}|{right}")
-        out.append((a, b, patterns, token))
-    return out
+            out.append(f"lr|{named[-1]}|{left}|{right}")
+    if right:
+        out.append(f"r1|{right}")
+    return out, named[-1] if named else ""
+
+
+def _over(spans: Spans, ends: list[int], a: int, b: int) -> bool:
+    """Whether a to b overlaps one of the spans, which are sorted and merged; ends are their ends."""
+    i = bisect_left(ends, a + 1)
+    return i < len(spans) and spans[i][0] < b
+
+
+def _merged(spans: Spans) -> tuple[Spans, list[int]]:
+    out: Spans = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out, [b for _, b in out]
+
+
+def instances(text: str, base: list[tuple[str, int, int]], failed: Spans) -> list[tuple[int, int, int]]:
+    """(start, end, known) of the places of a text that patterns stand around: known is 2 for a base span, 3 for an IBAN, -1 for a counter-example, 1 for what may be chosen as a seed, else 0."""
+    if not _SIGN.search(text) and not _QUOTED.search(text):
+        return []
+    # A run of digits inside a longer word, such as a hash, is neither a seed nor a counter-example.
+    whole = lambda a, b: not (a and text[a - 1].isalnum() or b < len(text) and text[b].isalnum())
+    out = [(a, b, 2) for _, a, b in base if whole(a, b)]
+    failed = [x for x in failed if whole(*x)]
+    seen, ends = _merged([(a, b) for a, b, _ in out])
+    fresh = [(a, b, -1) for a, b in failed if not _over(seen, ends, a, b)]
+    fresh += [(*m.span(), 3) for m in _IBAN.finditer(text) if not _over(seen, ends, *m.span()) and iban(m.group())]
+    ibans = [(a, b) for a, b, k in fresh if k == 3]
+    if ibans:  # a failed form inside an IBAN says nothing against it
+        held = _merged(ibans)
+        fresh = [x for x in fresh if x[2] == 3 or not _over(*held, x[0], x[1])]
+    out += fresh
+    seen, ends = _merged([(a, b) for a, b, _ in out])
+    for a, b in tokens(text):
+        if not _over(seen, ends, a, b):
+            out.append((a, b, -1 if PLAIN.fullmatch(text, a, b) else 1 if KEY.fullmatch(text, a, b) else 0))
+    return sorted(out)
 
 
 SCANNED = (
-    "key long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
+    "key string, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
     "found array<struct<start:long,end:long,patterns:array<string>,instance:string,known:int>>"
 )
 _FOUND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("patterns", pa.list_(pa.string())), ("instance", pa.string()), ("known", pa.int32())]))
 
 
 def _scan(batch):
-    """The base of each row and its identifier-like tokens: known is 1 for a base span or a keyword's token, -1 for one that is, whole, of a form whose test it fails, else 0."""
+    """The base of each row and the instances of its patterns. A token of a key's form has known 1 only if a cue stands before it."""
     rows = []
     for key, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
         text = text or ""
         base, failed = base_spans(text)
         write = [f"{k}:{a}:{b}" for k, a, b in base]
         found = []
-        for a, b, patterns, token in candidates(text):
-            covered = any(x < b and a < y for _, x, y in base)
-            said = any(p.startswith("l1|") and p.split("|")[1] in KEYWORDS for p in patterns)
-            known = 2 if covered else -1 if any(x <= a and b <= y for x, y in failed) else 1 if said else 0
-            digest = hashlib.blake2b(token.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
-            found.append({"start": a, "end": b, "patterns": patterns, "instance": digest, "known": known})
+        for a, b, known in instances(text, base, failed):
+            patterns, word = contexts(text, a, b)
+            digest = hashlib.blake2b(text[a:b].encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+            found.append({"start": a, "end": b, "patterns": patterns, "instance": digest, "known": 0 if known == 1 and word not in CUES else known})
         counts = [sum(k == x for k, _, _ in base) for x in KINDS]
         rows.append((key, doc_id, *counts, hashlib.sha256(",".join(write).encode()).hexdigest(), ",".join(write), found))
-    types = [pa.int64(), pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), _FOUND]
+    types = [pa.string(), pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), _FOUND]
     names = ["key", "doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "found"]
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: a narrow row for each, key standing for (doc_id, text)."""
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_arrow(rows, _scan, SCANNED)
+    """One pass over the texts: a narrow row for each; key stands for (doc_id, text) with 128 bits."""
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
+    return map_arrow(docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"), _scan, SCANNED)
 
 
-def learn_patterns(scan: DataFrame, rounds: int = ROUNDS, sure: float = SURE, support: int = SUPPORT) -> DataFrame:
-    """(pattern, confidence, support) of the patterns that hold, from all scanned rows."""
+def learn_patterns(scan: DataFrame, rounds: int = ROUNDS, sure: float = SURE, support: int = SUPPORT, seeds: int = SEEDS) -> tuple[DataFrame, DataFrame]:
+    """((pattern, confidence, support) of the patterns that hold, (instance) of the chosen seeds), from all scanned rows."""
     graph = scan.select(F.explode("found").alias("f")).select(F.explode("f.patterns").alias("pattern"), "f.instance", "f.known")
-    # An instance that failed a test stays out of belief for good, wherever else it stands.
     graph = settled(graph.groupBy("pattern", "instance").agg(F.min("known").alias("low"), F.max("known").alias("high")))
-    fixed = graph.groupBy("instance").agg(F.when(F.min("low") < 0, 0.0).when(F.max("high") > 0, 1.0).alias("fixed"))
+    known = graph.groupBy("instance").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    # At most `seeds` rows, whatever the corpus.
+    chosen = settled(known.where("low >= 0 and high = 1").select("instance").orderBy("instance").limit(seeds))
+    # A counter-example stays one for good, wherever else it stands.
+    fixed = known.join(F.broadcast(chosen.withColumn("seed", F.lit(1))), "instance", "left")
+    fixed = settled(fixed.select("instance", F.when(F.col("low") < 0, 0.0).when((F.col("high") > 1) | F.col("seed").isNotNull(), 1.0).alias("fixed")))
     believed = fixed.withColumn("belief", F.coalesce("fixed", F.lit(0.0)))
     for k in range(rounds):
-        scored = graph.join(believed, "instance").groupBy("pattern").agg((F.sum("belief") / (F.count("*") + PRIOR)).alias("confidence"), F.count("*").alias("support"))
+        scored = graph.join(believed, "instance").groupBy("pattern").agg(F.sum("belief").alias("belief"), F.count_if(F.col("fixed") == 0.0).alias("against"), F.count_if(F.col("belief") >= 0.5).alias("support"))
+        scored = scored.select("pattern", (F.col("belief") / (F.col("belief") + F.col("against") + PRIOR)).alias("confidence"), "support")
         if k < rounds - 1:
             strong = scored.where((F.col("confidence") >= sure / 2) & (F.col("support") >= 2)).select("pattern", "confidence")
             doubt = graph.join(strong, "pattern").groupBy("instance").agg(F.sum(F.log1p(-F.least("confidence", F.lit(0.999)))).alias("doubt"))
             believed = fixed.join(doubt, "instance", "left").withColumn("belief", F.coalesce("fixed", 1.0 - F.exp(F.coalesce("doubt", F.lit(0.0)))))
-    return scored.where((F.col("confidence") >= sure) & (F.col("support") >= support))
+    return scored.where((F.col("confidence") >= sure) & (F.col("support") >= support)), chosen
 
 
 def personal_data(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id for every row."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id, n_discovered (those of n_id that aren't seeds), n_spans for every row."""
     scan = settled(scanned(docs))
-    patterns = learn_patterns(scan, **options).select("pattern")
-    open_ = scan.select("key", F.explode("found").alias("f")).where("f.known in (0, 1)").select("key", "f.start", "f.end", F.explode("f.patterns").alias("pattern"))
-    more = open_.join(patterns, "pattern", "left_semi").select("key", "start", "end").distinct()
-    more = more.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("more"))
-    out = scan.join(more, "key", "left")
+    patterns, seeds = learn_patterns(scan, **options)
+    found = scan.select("key", F.explode("found").alias("f")).where("f.known in (0, 1, 3)").select("key", "f.start", "f.end", "f.instance", "f.known", F.explode_outer("f.patterns").alias("pattern"))
+    found = found.join(patterns.select("pattern", F.lit(1).alias("held")), "pattern", "left").join(F.broadcast(seeds.withColumn("seed", F.lit(1))), "instance", "left")
+    more = found.where("held = 1 or seed = 1 or known = 3").groupBy("key", "start", "end").agg(F.max(F.when((F.col("seed") == 1) | (F.col("known") == 3), 0).otherwise(1)).alias("fresh"))
+    more = more.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("more"), F.sum("fresh").alias("fresh"))
+    out = scan.drop("found").join(more, "key", "left")
     added = F.coalesce(F.transform("more", lambda x: F.concat_ws(":", F.lit("id"), x["start"], x["end"])), F.array().cast("array<string>"))
     spans = F.array_join(F.concat(F.when(F.col("base") == "", F.array().cast("array<string>")).otherwise(F.array("base")), added), ",")
-    return out.select("doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", spans.alias("spans"), F.size(added).cast("long").alias("n_id"))
+    n_id = F.size(added).cast("long")
+    total = F.col("n_email") + F.col("n_ip") + F.col("n_card") + F.col("n_phone") + n_id
+    return out.select("doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", spans.alias("spans"), n_id.alias("n_id"), F.coalesce("fresh", F.lit(0)).cast("long").alias("n_discovered"), total.alias("n_spans"))
 
 
 def op7_pattern_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
