@@ -7,9 +7,9 @@ Search: in each of many repetitions a fingerprint meets, level by level, a strip
 perfect code on it, shifted at random, and goes on into the list of the centre from which its partial weight on the strip is at
 most the code's radius. A perfect code has exactly one such centre, so a level costs no more rows than it gets: with random
 centres (the first version: strips of 8, weight 1, 16 centres) a fingerprint was in several lists or in none, and two levels
-took 54 rows a fingerprint where these take 30, three took over 300 where these take 80. The codes are Golay's (strips of 23,
-weight 3, 4096 lists) and Hamming's (strips of 7, weight 1, 16 lists), as many of each as bring the lists to LIST fingerprints;
-there are as many repetitions as find a pair at distance REACH with probability RECALL (nearer pairs more surely). The last
+took 54 rows a fingerprint, three over 300, where these take 18 and 80. The codes are Golay's (strips of 23, weight 3, 4096
+lists), Hamming's (strips of 7, weight 1, 16 lists) and the majority of three (weight 1, 2 lists), as many of each as bring the
+lists to LIST fingerprints; there are as many repetitions as find a pair at distance REACH with probability RECALL (nearer pairs more surely). The last
 lists are searched by brute force. A list above SPLIT rows is cut into blocks, and each pair of blocks is a task of its own:
 nothing is capped.
 
@@ -66,8 +66,9 @@ def fingerprints(texts: list[str]) -> np.ndarray:
     at, pairs = w.grams(2)
     shift = np.uint64(44)
     rows = np.concatenate([w.doc, w.doc[at]]).astype(np.uint64)
-    # A feature is the upper 44 bits of its hash below the number of its text, so that one sort makes them distinct by text.
-    features = np.unique(rows << shift | np.concatenate([w.hash, pairs]) >> np.uint64(20))
+    # A feature is the upper 44 bits of its hash below the number of its text, so that one sort makes them distinct by text (np.unique hashes, several times slower).
+    features = np.sort(rows << shift | np.concatenate([w.hash, pairs]) >> np.uint64(20))
+    features = features[np.concatenate([[True], features[1:] != features[:-1]])[: len(features)]]
     ends = np.searchsorted(features, np.arange(len(texts) + 1, dtype=np.uint64) << shift)
     features &= FEATURE
     out = np.zeros((len(texts), LANES), dtype=np.uint64)
@@ -120,19 +121,18 @@ class Code:
 
     @classmethod
     def get(cls, strip: int) -> Code:
-        """The code of a strip of 7 or 23, made once a process."""
+        """The code of a strip of 3, 7 or 23, made once a process."""
         if strip not in cls.made:
-            cls.made[strip] = cls(7, 1, 0b1011) if strip == 7 else cls(23, 3, 0b101011100011)
+            cls.made[strip] = cls(strip, *{3: (1, 0b111), 7: (1, 0b1011), 23: (3, 0b101011100011)}[strip])
         return cls.made[strip]
 
 
 def levels_for(n: int, small: int = LIST) -> list[int]:
-    """Strips, one a level, that bring lists of n fingerprints to about `small` ones: each 23 cuts by 2^12, each 7 by 2^4."""
-    bits = max(1.0, math.log2(max(1.0, n / small)))
-    golay, rest = divmod(bits, 12)
-    if rest > 8:
+    """Strips, one a level, that bring lists of n fingerprints to `small` ones or fewer: each 23 cuts by 2^12, each 7 by 2^4, each 3 by 2."""
+    golay, rest = divmod(max(1, math.ceil(math.log2(max(1.0, n / small)))), 12)
+    if rest == 11:
         golay, rest = golay + 1, 0
-    return [23] * int(golay) + [7] * math.ceil(rest / 4)
+    return [23] * golay + [7] * (rest // 4) + [3] * (rest % 4)
 
 
 def together(reach: int, strips: list[int]) -> float:
@@ -203,11 +203,21 @@ def _members(held, node, lanes, names):
     return pa.RecordBatch.from_arrays([pa.array(path), pa.array(node[rows]), *[pa.array(lanes[rows, k]) for k in range(LANES)]], names=names)
 
 
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(a), len(b)), dtype=np.uint16)
-    for k in range(LANES):
-        out += np.bitwise_count(a[:, k][:, None] ^ b[:, k][None, :])
-    return out
+def near(a: list[np.ndarray], b: list[np.ndarray], reach: int):
+    """Positions (x, y) of the rows of a and b that are reach bits apart at most; a and b are columns of lanes. All lanes but the last settle most pairs, the last is looked at for the others."""
+    rows = max(1, (1 << 17) // max(1, len(b[0])))
+    for s in range(0, len(a[0]), rows):
+        own = [x[s : s + rows, None] for x in a]
+        held = np.empty((len(own[0]), len(b[0])), dtype=np.uint64)
+        one, total = np.empty(held.shape, dtype=np.uint8), np.empty(held.shape, dtype=np.uint8)
+        for k in range(LANES - 1):  # at most 192: a byte holds it
+            np.bitwise_xor(own[k], b[k][None, :], out=held)
+            np.bitwise_count(held, out=one if k else total)
+            if k:
+                np.add(total, one, out=total)
+        x, y = np.nonzero(total <= reach)
+        last = total[x, y].astype(np.int16) + np.bitwise_count(own[-1][x, 0] ^ b[-1][y])
+        yield x[last <= reach] + s, y[last <= reach]
 
 
 def _blocked(rows: DataFrame, key: str, sizes: DataFrame, split: int) -> DataFrame:
@@ -272,15 +282,15 @@ def _links(group, reach: int):
     """Linked positions (x, y) of a group, a chunk of rows at a time."""
     same = group[1][0] == group[2][0]
     # Unsigned: bitwise_count takes the bits of a negative number's absolute value.
-    lanes = np.stack(group[5:], axis=1).view(np.uint64)
-    left = np.arange(len(lanes)) if same else np.flatnonzero(group[3] == 0)
+    lanes = [c.view(np.uint64) for c in group[5:]]
+    left = np.arange(len(lanes[0])) if same else np.flatnonzero(group[3] == 0)
     right = left if same else np.flatnonzero(group[3] == 1)
     for a in range(0, len(left), 256):
         mine = left[a : a + 256]
         theirs = right[a:] if same else right
-        x, y = np.nonzero(distances(lanes[mine], lanes[theirs]) <= reach)
-        x, y = mine[x], theirs[y]
-        yield (x[x < y], y[x < y]) if same else (x, y)
+        for x, y in near([c[mine] for c in lanes], [c[theirs] for c in lanes], reach):
+            x, y = mine[x], theirs[y]
+            yield (x[x < y], y[x < y]) if same else (x, y)
 
 
 def _edges(reach: int):

@@ -63,7 +63,7 @@ def test_recall_meets_the_target():
     for i in range(400):
         flip[i, r.permutation(G.BITS)[: G.REACH]] = 1
     other = base ^ np.packbits(flip, axis=1, bitorder="little").view(np.uint64)
-    for n, strips in ((1000, [7]), (300_000, [7, 7]), (20_000_000, [23, 7])):
+    for n, strips in ((1000, [3]), (300_000, [7, 3, 3, 3]), (20_000_000, [23, 3])):
         s = G.Search(n)
         met = np.zeros(400, dtype=bool)
         for rows, path in s.members(np.concatenate([base, other])):
@@ -101,7 +101,7 @@ def test_components_of_chains(spark):
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 111)} | {200: 100}
 
 
-@pytest.mark.parametrize("n, strips", [(1000, [7]), (300_000, [7, 7]), (14_000_000, [23]), (200_000_000, [23, 7])])
+@pytest.mark.parametrize("n, strips", [(1000, [3]), (200_000, [7, 3, 3]), (14_000_000, [23]), (200_000_000, [23, 7])])
 def test_recall_at_exactly_reach_bits(n, strips):
     r, pairs = np.random.default_rng(2), 4000
     base = r.integers(0, 1 << 63, (pairs, G.LANES), dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, (pairs, G.LANES), dtype=np.uint64)
@@ -117,7 +117,7 @@ def test_recall_at_exactly_reach_bits(n, strips):
 
 
 def test_codes_are_perfect():
-    for strip, weight in ((7, 1), (23, 3)):
+    for strip, weight in ((3, 1), (7, 1), (23, 3)):
         code = G.Code.get(strip)
         assert np.array_equal(np.bincount(code.owner), np.full(code.centres, 2**strip // code.centres))
         centre = np.zeros(code.centres, dtype=np.int64)
@@ -132,7 +132,7 @@ def test_codes_are_perfect():
 def test_work_grows_with_a_power_below_one_half():
     """Rows a fingerprint at the shipped setting, from thousands to billions of texts."""
     rows = {n: G.Search(n).repetitions for n in (16_000, 250_000, 14_000_000, 200_000_000, 1_000_000_000)}
-    assert rows[250_000] <= 32 and all(k <= rows[250_000] * (n / 250_000) ** 0.5 for n, k in rows.items() if n > 250_000)
+    assert rows[250_000] <= 20 and all(k <= rows[250_000] * (n / 250_000) ** 0.5 for n, k in rows.items() if n > 250_000)
 
 
 @pytest.mark.parametrize("small", [4096, 40, 2])
