@@ -1,15 +1,22 @@
-r"""Main text of web pages: markup first, then a suffix array over each host.
+r"""Main text of web pages: what the markup leaves open is decided by a suffix array over each host.
 
 A page is read once, in linear time, into blocks of text. Navigation, headers, footers, asides, forms, scripts, notices,
 adverts and comments go by element, role, class and id. A class or id counts as a whole or as a compound of known words, and takes
 out no element around an article or main, nor one with most of the page's text; inside an article it always counts, and inside
-main unless the page has no other article. Where a page says which part is the article (or main), its blocks are
-the text. Where it says nothing, the host decides: the token streams of all such pages of a host are concatenated, a suffix
-array finds the runs of RUN tokens or more that stand on at least max(PAGES, SHARE of the host's such pages) distinct pages,
-and what these cover is boilerplate; the unique runs of each block stay.
+main unless the page has no other article. Where a page says which part is the article (or main), its blocks are the text, and
+`decided` is `markup`.
 
-A host whose streams exceed HOST_TOKENS is not brought together: the runs that a suffix array finds there are those whose first
-RUN tokens occur on enough pages, so these are counted by hash over all of Spark instead, to the same result.
+The token streams of all other text are concatenated by host: of marked pages what stands around the article (menus, notices and
+adverts included), of the others everything. A suffix array finds the runs of RUN tokens or more that stand on PAGES distinct
+pages of the host (pages with the same article are one page). A page that marks no article has its text from the host, and
+`decided` is `host`: what such runs cover is boilerplate, the unique runs of each block stay.
+
+The array is built in pieces: each Arrow batch sorts the suffixes of its pages' streams to a depth of RUN tokens and sends on
+every distinct head with its number of pages; Spark adds these up by host and head. No host, however large, is brought together
+in one task, and the result is that of one array over the whole host.
+
+Inside a marked article nothing is removed, though the array could be run there too: tables of near copies and of passages that
+many documents share would lose them (README), and the article is the answer asked for.
 
 Cases: null html is empty and has an empty text; null url or one without a host is a host of its own; pages that repeat count
 as one page; an empty table gives an empty result; extra columns are ignored.
@@ -17,6 +24,7 @@ as one page; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from html import unescape
@@ -26,9 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, settled, table
+from .common import map_arrow, settled, slices, table
+from .words import STEP, mix
 
-RUN, PAGES, SHARE, HOST_TOKENS = 6, 3, 0.1, 400_000
+RUN, PAGES = 6, 3
 
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "plaintext"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -51,9 +60,11 @@ BESIDE = {
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
-
+_TAG_SIGN = re.compile(r"[\"'>]")
 
 HARD, SOFT = 2, 1
+#: Level of what is left out of the text, and the mark of its pieces.
+ASIDE, OUT = -1, -2
 
 
 def _marked(value: str, inside: int) -> bool:
@@ -86,8 +97,20 @@ def _excluded(name: str, attributes: str, inside: int, nested: bool = False) ->
     return soft
 
 
+def _tag_end(html: str, a: int, last: dict[str, int]) -> int:
+    """The > that ends the tag at a; one inside a value in quotes doesn't. -1 if there is none."""
+    at = a
+    while m := _TAG_SIGN.search(html, at):
+        sign, at = m.group(), m.end()
+        if sign == ">":
+            return m.start()
+        if last[sign] >= at and html[max(a, m.start() - 64) : m.start()].rstrip().endswith("="):
+            at = html.find(sign, at) + 1
+    return -1
+
+
 def blocks(html: str | None) -> list[tuple[int, str]]:
-    """(level, text) of the page's blocks in order: 2 in an article, 1 in main, 0 elsewhere; what is excluded is left out."""
+    """(level, text) of the page's blocks in order: 2 in an article, 1 in main, 0 elsewhere, ASIDE for what is excluded."""
     html = html or ""
     out: list[tuple[int, list[tuple[str, int]]]] = []
     stack: list[tuple[str, int, bool, int]] = []  # name, level, excluded, innermost soft element or -1
@@ -95,6 +118,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     open_: Counter = Counter()
     held: list[tuple[str, int]] = []
     last = {q: html.rfind(q) for q in "\"'"}
+    loose = False
 
     def flush() -> None:
         nonlocal held
@@ -121,24 +145,19 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     while at < n:
         m = MARKUP.search(html, at)
         a = m.start() if m else n
-        if a > at and not (stack and stack[-1][2]):
-            held.append((html[at:a], stack[-1][3] if stack else -1))
+        if a > at:
+            held.append((html[at:a], -1 if not stack else OUT if stack[-1][2] else stack[-1][3]))
         if not m:
             break
         if html.startswith("<!--", a):
             end = html.find("-->", a + 4)
             at = n if end < 0 else end + 3
             continue
-        end = html.find(">", a)
+        end = html.find(">", a) if loose else _tag_end(html, a, last)
+        if end < 0 and not loose:  # quotes that don't pair off: from here on any > ends a tag
+            loose, end = True, html.find(">", a)
         if end < 0:
             break
-        # A > inside a quoted value doesn't end the tag.
-        while html.count('"', a, end) % 2 and last['"'] > end or html.count("'", a, end) % 2 and "=" in html[a:end] and last["'"] > end and not html.count('"', a, end):
-            quote = html.find('"' if html.count('"', a, end) % 2 else "'", end)
-            further = html.find(">", quote)
-            if further < 0 or further - a > 1 << 16:
-                break
-            end = further
         at = end + 1
         if html[a + 1] in "!?":
             continue
@@ -165,7 +184,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
             if name in ITEM and name != "p":
                 close(name, ITEM[name])
         elif name == "br":
-            held.append((" ", -1))
+            held.append((" ", held[-1][1] if held else -1))
         if name in VOID:
             continue
         level, excluded, around = stack[-1][1:] if stack else (0, False, -1)
@@ -196,10 +215,12 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
 
 
 def _settle(found: list[tuple[int, list[tuple[str, int]]]], soft: list[list]) -> list[tuple[int, str]]:
-    """The blocks without the soft elements that stay excluded."""
+    """The blocks; the soft elements that stay excluded are ASIDE."""
     chars, whole, plain = [0] * len(soft), 0, False
     for level, held in found:
         for text, x in held:
+            if x == OUT:
+                continue
             n = len("".join(text.split()))
             whole += n
             plain |= level == 2 and x < 0 and n > 0
@@ -214,25 +235,29 @@ def _settle(found: list[tuple[int, list[tuple[str, int]]]], soft: list[list]) ->
         gone.append(not spared or outer >= 0 and gone[outer])
     out = []
     for level, held in found:
-        if text := " ".join(unescape("".join(t for t, x in held if x < 0 or not gone[x])).split()):
-            out.append((level, text))
+        aside = [x == OUT or x >= 0 and gone[x] for _, x in held]
+        for at, here in ((level, False), (ASIDE, True)):
+            if here in aside and (text := " ".join(unescape("".join(t for (t, _), g in zip(held, aside) if g == here)).split())):
+                out.append((at, text))
     return out
 
 
 def main_text(html: str | None) -> tuple[str | None, list[str]]:
-    """(text, []) where markup settles it, else (None, the open blocks)."""
+    """(text, all other blocks) where markup settles it or there is none, else (None, the open blocks)."""
     found = blocks(html)
-    top = max((level for level, _ in found), default=0)
+    top = max((level for level, _ in found), default=ASIDE)
     own = [text for level, text in found if level == top]
-    return ("\n".join(own), []) if top or not own else (None, own)
+    if top == 0:
+        return None, own
+    return ("\n".join(own) if top > 0 else ""), [text for level, text in found if level != top or top < 0]
 
 
-def suffix_array(tokens: np.ndarray) -> np.ndarray:
-    """Starts of all suffixes in order, by prefix doubling on whole arrays."""
+def suffix_array(tokens: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Starts of all suffixes in order, by prefix doubling on whole arrays; in order of their first `depth` tokens at least, if given."""
     n = len(tokens)
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     order, k = np.argsort(rank, kind="stable"), 1
-    while n and k < n and rank.max() < n - 1:
+    while n and k < n and (depth is None or k < depth) and rank.max() < n - 1:
         second = np.full(n, -1, dtype=np.int64)
         second[: n - k] = rank[k:]
         order = np.lexsort((second, rank))
@@ -244,24 +269,32 @@ def suffix_array(tokens: np.ndarray) -> np.ndarray:
     return order
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, least: int, run: int = RUN) -> np.ndarray:
-    """Which tokens lie in a run of `run` tokens or more that stands on `least` distinct pages. tokens: the pages' streams, each followed by a token of its own."""
-    n = len(tokens)
-    covered = np.zeros(n, dtype=bool)
-    if n < run:
-        return covered
-    order = suffix_array(tokens)
+def heads(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """(start of one suffix, number of distinct pages) for every distinct head of `run` tokens. tokens: the pages' streams, each followed by a token of its own page, which no other stream has."""
+    n = len(tokens) - run + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    order = suffix_array(tokens, run)
+    inside = page[: n] == page[run - 1 :]  # heads that lie in one stream, its end left out
+    inside &= ~_ends(page)[run - 1 :]
+    order = order[order < n]
+    order = order[inside[order]]
+    if not len(order):
+        return order, order
     a, b = order[:-1], order[1:]
-    padded = np.concatenate([tokens, -np.arange(2, 2 + run)])
-    same = np.ones(n - 1, dtype=bool)
+    same = np.ones(len(order) - 1, dtype=bool)
     for j in range(run):  # neighbours in the array with a common prefix of `run` tokens
-        same &= padded[np.minimum(a + j, n + run - 1)] == padded[np.minimum(b + j, n + run - 1)]
+        same &= tokens[a + j] == tokens[b + j]
     group = np.concatenate([[0], np.cumsum(~same)])
-    pairs = np.unique(np.stack([group, page[order]], axis=1), axis=0)
-    pages = np.bincount(pairs[:, 0], minlength=group[-1] + 1)
-    for start in order[pages[group] >= least]:
-        covered[start : start + run] = True
-    return covered
+    by = np.lexsort((page[order], group))
+    g, p = group[by], page[order][by]
+    fresh = np.concatenate([[True], (g[1:] != g[:-1]) | (p[1:] != p[:-1])])
+    return order[np.concatenate([[True], ~same])], np.bincount(g[fresh])
+
+
+def _ends(page: np.ndarray) -> np.ndarray:
+    """Which tokens are the last of their stream."""
+    return np.concatenate([page[1:] != page[:-1], [True]]) if len(page) else np.zeros(0, dtype=bool)
 
 
 def _unique_runs(parts: list[list[str]], covered: np.ndarray) -> str:
@@ -274,34 +307,16 @@ def _unique_runs(parts: list[list[str]], covered: np.ndarray) -> str:
     return "\n".join(out)
 
 
-def least_pages(pages: int) -> int:
-    return max(PAGES, int(np.ceil(SHARE * pages)))
-
-
-def unique_texts(pages: list[list[str]], keys: list[int]) -> list[str]:
-    """The unique runs of each of a host's pages, given their open blocks; equal keys are one page."""
+def word_hashes(words: list[str]) -> np.ndarray:
     known: dict[str, int] = {}
-    tokens, page = [], []
-    number = {k: i for i, k in enumerate(dict.fromkeys(keys))}
-    split = [[b.split(" ") for b in p] for p in pages]
-    for i, parts in enumerate(split):
-        for words in parts:
-            tokens += [known.setdefault(w, len(known)) for w in words]
-        tokens.append(-1 - i)
-        page += [number[keys[i]]] * (sum(map(len, parts)) + 1)
-    covered = repeated(np.array(tokens), np.array(page), least_pages(len(number)))
-    out, at = [], 0
-    for parts in split:
-        n = sum(map(len, parts))
-        out.append(_unique_runs(parts, covered[at : at + n]))
-        at += n + 1
-    return out
+    for w in words:
+        if w not in known:
+            known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return np.fromiter((known[w] for w in words), dtype=np.uint64, count=len(words))
 
 
-def _grams(words: list[str], run: int = RUN) -> np.ndarray:
-    from .words import STEP, mix
-
-    h = np.array([hash_word(w) for w in words], dtype=np.uint64)
+def head_hashes(h: np.ndarray, run: int = RUN) -> np.ndarray:
+    """One hash for every `run` tokens in a row."""
     n = len(h) - run + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
@@ -312,69 +327,88 @@ def _grams(words: list[str], run: int = RUN) -> np.ndarray:
     return mix(out).astype(np.int64)
 
 
-def hash_word(word: str) -> int:
-    import xxhash
+def _page_words(parts: list[str]) -> list[str]:
+    return [w for b in parts for w in b.split(" ")]
+
 
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+def _pieces(batch):
+    """(host, head, pages) of the suffix arrays of some pages' streams, a host's streams in one array."""
+    hosts, streams = batch.column(0).to_pylist(), [_page_words(p) for p in batch.column(1).to_pylist()]
+    by: dict[str, list[int]] = {}
+    for i, h in enumerate(hosts):
+        by.setdefault(h, []).append(i)
+    for host, rows in by.items():
+        for a, b in slices([streams[i] for i in rows], 1 << 18):
+            words, page = [], []
+            for i in rows[a:b]:
+                words += streams[i]
+                words.append(f"\0{i}")
+                page += [i] * (len(streams[i]) + 1)
+            h, page = word_hashes(words), np.array(page)
+            start, n = heads(h, page)
+            if len(start):
+                yield pa.RecordBatch.from_arrays([pa.array([host] * len(start), pa.string()), pa.array(head_hashes(h)[start]), pa.array(n.astype(np.int64))], names=["host", "head", "n"])
 
 
-def _page_grams(batch):
-    host, key, gram = [], [], []
+def _page_heads(batch):
+    host, key, found = [], [], []
     for h, k, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-        own = np.unique(_grams([w for b in parts for w in b.split(" ")]))
+        own = np.unique(head_hashes(word_hashes(_page_words(parts))))
         host += [h] * len(own)
         key += [k] * len(own)
-        gram.append(own)
-    if gram:
-        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.int64()), pa.array(np.concatenate(gram))], names=["host", "key", "gram"])
+        found.append(own)
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.string()), pa.array(np.concatenate(found))], names=["host", "key", "head"])
 
 
 def _page_unique(batch):
     keys, texts = batch.column(0).to_pylist(), []
-    for parts, grams in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+    for parts, common in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
         split = [b.split(" ") for b in parts]
         words = [w for p in split for w in p]
         covered = np.zeros(len(words), dtype=bool)
-        for start in np.flatnonzero(np.isin(_grams(words), np.array(grams or [], dtype=np.int64))):
+        for start in np.flatnonzero(np.isin(head_hashes(word_hashes(words)), np.array(common or [], dtype=np.int64))):
             covered[start : start + RUN] = True
         texts.append(_unique_runs(split, covered))
-    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.string())], names=["key", "text"])
+    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(texts, pa.string())], names=["key", "text"])
+
+
+def _key(*parts: str) -> str:
+    return hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def _parse(batch):
-    texts, parts = [], []
-    for html in batch.column(2).to_pylist():
-        text, open_ = main_text(html)
-        texts.append(text)
-        parts.append(open_)
-    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(parts, pa.list_(pa.string()))], names=["page_id", "url", "text", "parts"])
+def _streams(batch):
+    """host, key (the same for pages of one article or, without one, of one text), whether the host decides, and the blocks of the stream."""
+    keys, open_, parts = [], [], []
+    for html in batch.column(3).to_pylist():
+        text, others = main_text(html)
+        keys.append(_key("article", text) if text else _key("open" if text is None else "none", *others))
+        open_.append(text is None)
+        parts.append(others)
+    yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(keys), pa.array(open_), pa.array(parts, pa.list_(pa.string()))], names=["page_id", "url", "host", "key", "open", "parts"])
 
 
-def _host_texts(pdf):
-    pdf["text"] = unique_texts([list(p) for p in pdf["parts"]], list(pdf["key"]))
-    return pdf[["key", "text"]].drop_duplicates()
+def _marked_texts(batch):
+    texts = [main_text(html)[0] for html in batch.column(2).to_pylist()]
+    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
-def extract(pages: DataFrame, host_tokens: int = HOST_TOKENS) -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
-    parsed = settled(map_arrow(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), _parse, "page_id long, url string, text string, parts array<string>"))
+def extract(pages: DataFrame, least: int = PAGES) -> DataFrame:
+    """page_id, url, text, n_chars, decided of every page. `least`: distinct pages of a host that make a run boilerplate."""
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    key = F.xxhash64("page_id", "url", "parts")
-    waiting = parsed.where(F.col("text").isNull()).select(host.alias("host"), key.alias("key"), "parts")
-    tokens = F.aggregate("parts", F.lit(0).cast("long"), lambda n, x: n + F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1)
-    hosts = settled(waiting.groupBy("host").agg(F.sum(tokens).alias("tokens"), F.count_distinct("key").alias("pages")))
-    large, small = hosts.where(F.col("tokens") > host_tokens), hosts.where(F.col("tokens") <= host_tokens)
-    together = waiting.join(small.select("host"), "host", "left_semi").groupBy("host").applyInPandas(_host_texts, "key long, text string")
-    spread = waiting.join(large.select("host"), "host", "left_semi").dropDuplicates(["host", "key"])
-    grams = map_arrow(spread.select("host", "key", "parts"), _page_grams, "host string, key long, gram long")
-    many = grams.groupBy("host", "gram").agg(F.count("*").alias("n")).join(large.select("host", "pages"), "host")
-    many = many.where(F.col("n") >= F.greatest(F.lit(PAGES), F.ceil(F.lit(SHARE) * F.col("pages")))).select("host", "gram")
-    own = grams.join(many, ["host", "gram"]).groupBy("key").agg(F.collect_set("gram").alias("grams"))
-    apart = map_arrow(spread.join(own, "key", "left").select("key", "parts", "grams"), _page_unique, "key long, text string")
-    solved = together.union(apart).dropDuplicates(["key"])
-    rest = parsed.where(F.col("text").isNull()).drop("text").withColumn("key", key).join(solved, "key").select("page_id", "url", "text")
-    out = parsed.where(F.col("text").isNotNull()).select("page_id", "url", "text").union(rest)
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    # Of pages with one article the least stream counts, so that reruns agree. Pages are read twice, so that between the passes only what stands around the articles is kept.
+    held = settled(map_arrow(pages.select("page_id", "url", host.alias("host"), "html"), _streams, "page_id long, url string, host string, key string, open boolean, parts array<string>"))
+    streams = held.groupBy("host", "key").agg(F.min("parts").alias("parts"), F.max("open").alias("open"))
+    pieces = map_arrow(streams.select("host", "parts"), _pieces, "host string, head long, n long")
+    common = pieces.groupBy("host", "head").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("host", "head")
+    waiting = held.where("open").dropDuplicates(["host", "key"]).select("host", "key", "parts")
+    found = map_arrow(waiting, _page_heads, "host string, key string, head long").join(common, ["host", "head"]).groupBy("host", "key").agg(F.collect_set("head").alias("common"))
+    keyed = waiting.join(found, ["host", "key"], "left").select(F.concat_ws(" ", "key", "host").alias("key"), "parts", "common")
+    solved = map_arrow(keyed, _page_unique, "key string, text string")
+    rest = held.where("open").select("page_id", "url", F.concat_ws(" ", "key", "host").alias("key")).join(solved, "key").select("page_id", "url", "text", F.lit("host").alias("decided"))
+    marked = map_arrow(pages, _marked_texts, "page_id long, url string, text string").where(F.col("text").isNotNull()).select("*", F.lit("markup").alias("decided"))
+    return marked.union(rest).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "decided")
 
 
 def op5_host_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
