@@ -15,7 +15,7 @@ The items are read in blocks of ITEM_BLOCK rows and ITEM_BYTES bytes at most, so
 every block meets all documents. A document's passages are found and aligned where its text is: no text is shuffled.
 
 Cases: null text has no words and never leaks; items or documents that repeat give their rows again; an item shorter than GRAM
-words seeds with its whole run of words and leaks only as a whole; an `enough` below a score of 3 still needs a seed, two words; an empty table on either side leaves all documents clean;
+words leaks only as a whole, at its first place in a document; an `enough` below a score of 3 still needs a seed, two words; an empty table on either side leaves all documents clean;
 extra columns are carried by `clean_documents`.
 """
 
@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, settled, slices, table
-from .words import STEP, HashSet, Words, mix
+from .common import map_arrow, row_key, settled, slices, table
+from .words import STEP, HashSet, Words, gram_hashes, mix
 
 #: Items of fewer words leak only as a whole; the words of a seed stand at most STEPS apart.
 GRAM, STEPS = 3, 2
@@ -81,9 +81,14 @@ class Items:
         w = Words(texts)
         self.first, self.hash = w.first, w.hash
         size = np.diff(self.first)
-        # Items of fewer than GRAM words have one gram of all their words.
-        short = [i for i in range(len(texts)) if 0 < size[i] < GRAM]
-        self.short = {int(mix(np.array([_run(self.hash[self.first[i] : self.first[i + 1]])], dtype=np.uint64))[0]): i for i in short}
+        # Items of fewer than GRAM words by their number of words: hash of all of them, item; several may be equal.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k in range(1, GRAM):
+            own = np.flatnonzero(size == k)
+            if len(own):
+                h = np.array([gram_hashes(texts[i], k)[0] for i in own], dtype=np.uint64)
+                order = np.argsort(h, kind="stable")
+                self.short[k] = h[order], own[order]
         at, h = pairs(w)
         long = size[w.doc[at]] >= GRAM
         at, h = at[long], h[long]
@@ -116,10 +121,6 @@ class Items:
         return (n > 0) & (rank >= spare[doc])[self.word]
 
 
-def _run(hashes: np.ndarray) -> int:
-    return sum(int(h) * (2 * k + 1) for k, h in enumerate(hashes)) & ((1 << 64) - 1)
-
-
 def _counted(grams: np.ndarray):
     """Per batch: how often each item pair occurs, partly aggregated."""
 
@@ -145,6 +146,7 @@ def _leaks(ids: list, texts: list[str], seeds: np.ndarray, enough: float, span:
     low, high = np.searchsorted(gram, known.sorted, "left"), np.searchsorted(gram, known.sorted, "right")
     size = np.diff(items.first)
     least = items.least(enough, span)
+    short_sets = {k: HashSet(h) for k, (h, _) in items.short.items()}
     # A copy of m <= size words that scores least has gaps of MATCH * m - least words at most.
     reach = np.maximum(size, (1 + MATCH) * size - least) + 1
 
@@ -184,15 +186,20 @@ def _leaks(ids: list, texts: list[str], seeds: np.ndarray, enough: float, span:
                 best = max(passages(w.hash[first : w.first[d + 1]], i, at[x:y] - first), key=lambda p: (p[0], -p[1]), default=None)
                 if best:
                     out.append((keys[a + d], names[a + d], ids[i], best[0] / int(MATCH * size[i]), best[1], best[2]))
-            for length in {len(items.words(i)) for i in items.short.values()}:
-                for d in range(b - a):
-                    words = w.hash[w.first[d] : w.first[d + 1]]
-                    for s in range(len(words) - length + 1):
-                        i = items.short.get(int(mix(np.array([_run(words[s : s + length])], dtype=np.uint64))[0]))
-                        if i is not None and len(items.words(i)) == length:
-                            out.append((keys[a + d], names[a + d], ids[i], 1.0, s, s + length))
+            for length, (short, which) in items.short.items():
+                starts, h = w.grams(length)
+                spot, found = short_sets[length].find(h)
+                # The first place of each in each document, and there all items that are equal.
+                doc = w.doc[starts[spot]]
+                order = np.lexsort((starts[spot], found, doc))
+                fresh = np.concatenate([[True], (np.diff(doc[order]) | np.diff(found[order])) != 0])[: len(order)]
+                for x in order[fresh]:
+                    d, s = int(doc[x]), int(starts[spot[x]] - w.first[doc[x]])
+                    gram = short_sets[length].sorted[found[x]]
+                    for i in which[np.searchsorted(short, gram, "left") : np.searchsorted(short, gram, "right")]:
+                        out.append((keys[a + d], names[a + d], ids[i], 1.0, s, s + length))
         if out:
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            types = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["key", "doc_id", "item_id", "score", "first_word", "last_word"])
 
     return scan
@@ -212,12 +219,12 @@ def item_blocks(benchmark: DataFrame, rows: int = ITEM_BLOCK, size: int = ITEM_B
         yield held
 
 
-LEAK = "key long, doc_id long, item_id long, score double, first_word long, last_word long"
+LEAK = "key string, doc_id long, item_id long, score double, first_word long, last_word long"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, enough: float = ENOUGH, span: int = SPAN) -> DataFrame:
     """One row a leaked (document, item): key, doc_id, item_id, score (share of the item's own alignment score) and the words of the best alignment. key stands for (doc_id, text)."""
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for block in item_blocks(benchmark):
         ids, texts = [x for x, _ in block], [t for _, t in block]
@@ -235,7 +242,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, enough: float = ENOUGH, span: i
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without those that leak an item; all columns. The ids of leaks are few and written out first; Spark chooses the join by their size."""
     found = settled(leaks(docs, benchmark, **options).select(F.col("key").alias("__leak")).distinct())
-    return docs.withColumn("__key", F.xxhash64("doc_id", "text")).join(found, F.col("__key") == F.col("__leak"), "left_anti").select(*docs.columns)
+    return docs.withColumn("__key", row_key()).join(found, F.col("__key") == F.col("__leak"), "left_anti").select(*docs.columns)
 
 
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of whole texts that one Arrow batch is cut into before arrays are built on it: characters at most, one text at least.
 SLICE_CHARS = 1 << 21
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key() -> Column:
+    """128 bits in hex that stand for (doc_id, text); a null text is the empty one."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
+
+
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Runs [a, b) of texts with at most limit characters in all, or one longer text."""
     a, size = 0, 0

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, settled, table
+from .common import map_arrow, row_key, settled, table
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SURE, SUPPORT, PRIOR, SEEDS, CONTEXT = 3, 0.8, 3, 1.0, 16, 64
@@ -256,8 +256,7 @@ def _scan(batch):
 
 def scanned(docs: DataFrame) -> DataFrame:
     """One pass over the texts: a narrow row for each; key stands for (doc_id, text) with 128 bits."""
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
-    return map_arrow(docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"), _scan, SCANNED)
+    return map_arrow(docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"), _scan, SCANNED)
 
 
 def learn_patterns(scan: DataFrame, rounds: int = ROUNDS, sure: float = SURE, support: int = SUPPORT, seeds: int = SEEDS) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from skeinwork.llm import benchmark_leaks as D
 from skeinwork.llm.words import Words
@@ -106,3 +107,34 @@ def test_heavy_edits_against_brute_force(spark, documents, prose):
         words = Words([text[r.doc_id]]).hash
         own = Words([size[r.item_id]]).hash
         assert D.smith_waterman(own, words) == D.smith_waterman(own, words[r.first_word : r.last_word]) == round(r.score * 2 * len(own))
+
+
+def test_short_items_that_repeat(spark, documents):
+    rows = [(1, "here two zebras and two zebras"), (2, "Two, ZEBRAS"), (3, "zebras two"), (4, None)]
+    items = spark.createDataFrame([(1, "two zebras"), (2, "two zebras"), (3, "zebras"), (1, "two zebras"), (4, ""), (5, "gnu")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.first_word, r.last_word, r.score) for r in D.leaks(documents(rows), items).collect())
+    assert got == sorted([(1, 1, 1, 3, 1.0), (1, 1, 1, 3, 1.0), (1, 2, 1, 3, 1.0), (1, 3, 2, 3, 1.0), (2, 1, 0, 2, 1.0), (2, 1, 0, 2, 1.0), (2, 2, 0, 2, 1.0), (2, 3, 1, 2, 1.0), (3, 3, 0, 1, 1.0)])
+
+
+@pytest.mark.parametrize("share", [0.1, 0.2, 0.3, 0.4])
+def test_recall_over_edit_rates(spark, documents, prose, share):
+    """Every copy that brute alignment calls a leak is found, however much of it was edited."""
+    r = random.Random(int(share * 10))
+    items = [(i, prose(i, r.randrange(16, 60))) for i in range(30)]
+    rows = []
+    for k in range(120):
+        item = items[k % 30][1]
+        copy = []
+        for w in item.split():
+            x = r.random()
+            copy += [w] if x >= share else [] if x < share / 4 else [f"new{r.randrange(9999)}"] if x < share * 0.8 else [w, f"more{r.randrange(99)}"]
+        rows.append((1000 + k, prose(5000 + k, 60) + " " + " ".join(copy) + " " + prose(7000 + k, 60)))
+    got = {(x.doc_id, x.item_id) for x in D.leaks(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    hashes = {i: Words([t]).hash for i, t in items}
+    want = set()
+    for d, t in rows:
+        h = Words([t]).hash
+        for i, own in hashes.items():
+            if D.smith_waterman(own, h) >= min(D.ENOUGH * D.MATCH * len(own), D.MATCH * D.SPAN):
+                want.add((d, i))
+    assert got == want and len(want) >= (100 if share < 0.3 else 20)
