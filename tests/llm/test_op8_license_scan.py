@@ -86,3 +86,34 @@ def test_a_span_that_went_takes_no_other_along(documents):
     one, two, three = "a b c d e f g h", "g h i j k l", "k l m n o"
     _, spans = L.scan_licenses(documents([(1, "a b c d e f g h i j k l m n o")]), templates=[("one", one), ("two", two), ("three", three)])
     assert sorted(r.label for r in spans.collect()) == ["one", "three"]
+
+
+def test_in_order_is_the_longest_common_subsequence():
+    import random
+
+    r = random.Random(1)
+    for _ in range(300):
+        a, b = [[r.choice("abcd") for _ in range(r.randrange(0, 14))] for _ in range(2)]
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a, 1):
+            for j, y in enumerate(b, 1):
+                table[i][j] = table[i - 1][j - 1] + 1 if x == y else max(table[i - 1][j], table[i][j - 1])
+        assert L.in_order(a, b) == table[-1][-1]
+
+
+def test_whole_licenses(documents, prose):
+    """Every template, two words in twenty changed where it is long, is found in a long text with its label."""
+    rows = []
+    for t, (_, wording) in enumerate(L.TEMPLATES):
+        w = wording.split()
+        if len(w) > 60:
+            w = [f"new{i}" if i % 20 in (7, 13) and not w[i].isdigit() else x for i, x in enumerate(w)]
+        rows.append((t, prose(t, 100) + " " + " ".join(w).title() + ". " + prose(t + 500, 50)))
+    _, spans = L.scan_licenses(documents(rows))
+    got = {}
+    for r in spans.select("key", "label", "score", "first_word", "last_word").join(documents(rows).select(L.row_key().alias("key"), "doc_id"), "key").collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for t, (label, wording) in enumerate(L.TEMPLATES):
+        assert {r.label for r in got[t]} == {label}
+        best = max(got[t], key=lambda r: r.last_word - r.first_word)
+        assert abs(best.first_word - 100) <= 8 and best.score >= 0.85
