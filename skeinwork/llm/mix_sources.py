@@ -6,9 +6,11 @@ and fits the rest: documents are counted by exact length, every length gives its
 program over the lengths fills what is left of the budget, as a rule to the word. The documents of each length are then chosen
 by a seeded hash.
 
-The driver sees one row a source. The fit sees one row a (source, length), so its size is bounded by the longest text and not
-by the number of rows. Ranks inside a (source, length) are taken in BUCKETS ranges of the seeded hash, so that a source or a
-group of copies with a third of all rows is spread over as many tasks.
+Sources are a table like any other: they are ranked by code point in ranges, and the level of the water is found in a few rounds
+of two sums over all of them, so that a source may be a host name. The fit sees one row a (source, length), so its size is
+bounded by the longest text and not by the number of rows. Words are counted once, and what follows works on narrow rows; texts
+are read again only where they are carried. Ranks inside a (source, length) are taken in BUCKETS ranges of the seeded hash, so
+that a source or a group of copies with a third of all rows is spread over as many tasks.
 
 Cases: null or blank text has size 0 and is never taken; a null source is a source; repeated rows are documents of their own;
 an empty table gives an empty result; extra columns are carried on request.
@@ -16,15 +18,16 @@ an empty table gives an empty result; extra columns are carried on request.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table
+from .common import settled, table
 
 WEIGHTS, SHARE, MOST, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 20240607
-BUCKETS = 64
-#: Words of budget that the dynamic program works on; what exceeds it is filled by whole documents first, longest first.
+BUCKETS = 1024
+#: Words of budget that are left to the dynamic program at most; documents of every length are added in turn, longest first, until no more are left.
 EXACT = 1 << 16
 
 
@@ -69,25 +72,27 @@ def fit(lengths: list[int], counts: list[int], budget: float) -> list[int]:
         most *= 2
     if room <= 0:
         return take
-    mask = (1 << (room + 1)) - 1
-    reach, steps, goal = 1, [], 1 << room
-    for i in order[::-1] if room < 64 else order:
+    # Bit s of reach: a sum of s can be made. by[s]: the step that first made it; its rest was made by an earlier one.
+    mask, goal = (1 << (room + 1)) - 1, 1 << room
+    reach, steps, by = 1, [], np.zeros(room + 1, dtype=np.int64)
+    for i in order:
         spare, k = min(counts[i] - take[i], room // lengths[i]), 1
         while spare > 0 and not reach & goal:
             k = min(k, spare)
-            now = (reach | reach << (k * lengths[i])) & mask
-            if now != reach:
-                steps.append((reach, i, k))
-                reach = now
+            if new := (reach << (k * lengths[i])) & mask & ~reach:
+                made = np.frombuffer(new.to_bytes(room // 8 + 1, "little"), dtype=np.uint8)
+                by[np.flatnonzero(np.unpackbits(made, bitorder="little"))] = len(steps)
+                steps.append((i, k))
+                reach |= new
             spare -= k
             k *= 2
         if reach & goal:
             break
     at = reach.bit_length() - 1
-    for before, i, k in reversed(steps):
-        if not before >> at & 1:
-            take[i] += k
-            at -= k * lengths[i]
+    while at:
+        i, k = steps[by[at]]
+        take[i] += k
+        at -= k * lengths[i]
     return take
 
 
@@ -96,27 +101,48 @@ def words(text: str = "text"):
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def targeted(sums: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """sums (__source, __none, words) with __target, as `targets` gives it, by aggregates alone."""
+    ranges = sums.repartitionByRange("__none", "__source").withColumn("__range", F.spark_partition_id())
+    ranges = settled(ranges)
+    sizes = {r["__range"]: r["count"] for r in ranges.groupBy("__range").count().collect()}  # as many rows as partitions
+    before, start = 0, {}
+    for k in sorted(sizes):
+        start[k] = before
+        before += sizes[k]
+    at = F.row_number().over(Window.partitionBy("__range").orderBy("__none", "__source")) - 1
+    first = F.element_at(F.create_map(*[F.lit(x) for k, v in start.items() for x in (k, v)]), F.col("__range")) if start else F.lit(0)
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(first + at, F.lit(len(weights))) + 1).cast("int"))
+    held = settled(ranges.select("__source", "__none", "words", weight.alias("__weight")))
+    total = held.agg(F.sum("words")).first()[0] or 0
+    left, unit, full = min(share * total, most * total), 0.0, None
+    while total:
+        fills = F.col("__weight") * unit >= most * F.col("words")
+        r = held.where("words > 0").agg(F.coalesce(F.sum(F.when(fills, F.col("words"))), F.lit(0)).alias("full"), F.coalesce(F.sum(F.when(~fills, F.col("__weight"))), F.lit(0.0)).alias("open")).first()
+        if r["full"] == full or not r["open"]:
+            break
+        full = r["full"]
+        unit = (left - most * full) / r["open"]
+    return held.select("__source", "__none", "words", F.least(F.col("__weight") * unit, most * F.col("words")).alias("__target"))
+
+
 def _planned(docs: DataFrame, carry: list[str], seed: int = SEED, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """The carried columns, whatever their names, with __size, __source_size, __target and __copies."""
-    spark = docs.sparkSession
     held = docs.select(
         *[F.col(c) for c in carry],
         F.coalesce(F.col("source"), F.lit("")).alias("__source"), F.col("source").isNull().alias("__none"), words().alias("__size"),
         F.xxhash64(F.lit(seed), F.col("doc_id"), F.crc32(F.col("text").cast("binary"))).alias("__h"),
     ).withColumn("__bucket", F.pmod(F.col("__h"), F.lit(BUCKETS)).cast("int"))
     key = ["__source", "__none", "__size"]
-    # Words are counted in this pass over the text and again in the last one; what is kept between is one row a bucket.
+    if "text" not in carry:
+        held = settled(held)
     buckets = held.groupBy(*key, "__bucket").agg(F.count("*").alias("__n"))
-    lengths = buckets.groupBy(*key).agg(F.sum("__n").alias("__n"))
-    sums = lengths.groupBy("__source", "__none").agg(F.sum(F.col("__size") * F.col("__n")).alias("words")).collect()  # one row a source
-    sums = sorted(sums, key=lambda r: (r["__none"], r["__source"]))
-    sizes = [int(r["words"]) for r in sums]
-    goals = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share * sum(sizes), most)
-    whole = [int(g // s) if s else 0 for g, s in zip(goals, sizes)]
-    plan = spark.createDataFrame(
-        [(r["__source"], r["__none"], s, g, w, g - w * s) for r, s, g, w in zip(sums, sizes, goals, whole)],
-        "__source string, __none boolean, __source_size long, __target double, __whole int, __rest double",
-    )
+    if "text" in carry:  # words are counted again where the texts are carried along, but not for the plan's two uses
+        buckets = settled(buckets)
+    lengths = settled(buckets.groupBy(*key).agg(F.sum("__n").alias("__n")))
+    sums = targeted(lengths.groupBy("__source", "__none").agg(F.sum(F.col("__size") * F.col("__n")).alias("words")), weights, share, most)
+    whole = F.when(F.col("words") > 0, F.floor(F.col("__target") / F.col("words"))).otherwise(0).cast("int")
+    plan = sums.select("__source", "__none", F.col("words").alias("__source_size"), "__target", whole.alias("__whole"), (F.col("__target") - whole * F.col("words")).alias("__rest"))
 
     def fitted(pdf):
         pdf = pdf.sort_values("__size")

@@ -81,3 +81,27 @@ def test_rows_are_repeated(documents, prose):
 
 def test_empty(documents):
     assert M.mixed_rows(documents([])).count() == 0 and M.mixed_rows(documents([(1, None), (2, "")])).count() == 0
+
+
+def test_targets_by_aggregates_are_those_of_the_list(spark):
+    r = random.Random(9)
+    for n in (1, 2, 7, 500):
+        sizes = [r.choice([0, 1, r.randrange(10**6), r.randrange(10**9)]) for _ in range(n)]
+        names = sorted({f"h{r.randrange(10**9)}.example" for _ in range(4 * n)})[: n - 1] + [None]
+        df = spark.createDataFrame([(s or "", s is None, w) for s, w in zip(names, sizes)], "__source string, __none boolean, words long").repartition(5)
+        want = dict(zip(names, M.targets(sizes, [(5, 2, 1)[i % 3] for i in range(n)], 1.5 * sum(sizes))))
+        got = {None if x["__none"] else x["__source"]: x["__target"] for x in M.targeted(df).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 1e-9 * max(1.0, want[k]) for k in want)
+
+
+def test_fit_is_the_best_sum_of_what_is_left():
+    """After the even share the program finds the best sum of the documents that are left, whatever the budget."""
+    lengths, counts = [3, 5, 7, 1000], [40, 40, 40, 2]
+    total = sum(a * b for a, b in zip(lengths, counts))
+    for budget in range(0, total, 7):
+        even = [c * budget // total for c in counts]
+        rest = budget - sum(a * b for a, b in zip(lengths, even))
+        take = M.fit(lengths, counts, budget)
+        got = sum(a * b for a, b in zip(lengths, take))
+        assert all(e <= t <= c for e, t, c in zip(even, take, counts))
+        assert got == budget - rest + best(lengths, [c - e for c, e in zip(counts, even)], rest)
