@@ -61,4 +61,29 @@ def test_cases(spark, documents):
     assert B.learn(documents([])).classes == [] and B.identified(documents([]), net).count() == 0
     assert {r.lang_pred for r in B.identified(documents([(1, "abc")]), B.Net([])).collect()} == {"und"}
     one = B.learn(documents([(1, "abc", "xx")]).select("doc_id", "text", "lang"))
-    assert [r.lang_pred for r in B.identified(documents([(1, "abc")]), one).collect()] == ["xx"]
+    got = B.identified(documents([(1, "abc")]), one, any_="sum").collect()
+    assert [r.lang_pred for r in got] == ["xx"] and got[0].score == got[0].sum
+
+
+def test_letters_that_make_no_language(spark):
+    """Shuffled letters, random ones and unseen scripts are of no language, documents of the tables are."""
+    import random
+
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    net = B.learn(docs.select("doc_id", "text", "lang"))
+    rows = docs.select("text").collect()
+    known = np.array(net.predict([r.text for r in rows])[2])
+    assert np.mean(known >= B.SURE) > 0.998
+    r = random.Random(4)
+    none = ["".join(r.sample(t, len(t))) for t in (x.text[:2000] for x in rows[:200]) if len(t) > 300]
+    none += [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 9))) for _ in range(60)) for _ in range(100)]
+    none += ["".join(chr(r.randrange(a, a + 60)) for _ in range(200)) for a in range(0x400, 0xA000, 400)]
+    langs, scores, known = net.predict(none)
+    assert np.mean(np.array(known) < B.SURE) > 0.95 and set(langs) <= {*net.classes, B.UNKNOWN} and all(x <= y for x, y in zip(scores, known))
+
+
+def test_more_languages_than_fit(documents):
+    """The best sampled ones are learned; none is an error."""
+    rows = [(i, f"text number {'abcdefgh'[i % 8] * 9} of many", f"l{min(i % 8, 5)}") for i in range(80)] + [(900, "once", "aa")]
+    net = B.learn(documents(rows).select("doc_id", "text", "lang"), classes=3)
+    assert net.classes == ["l0", "l1", "l5"]
