@@ -12,10 +12,10 @@ from skeinwork.llm.common import settled, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those whose language is little better than a guess; learns as op2 does."""
+    """Drops documents without a letter and those that are more likely of no language than of any; learns as op2 does."""
     net = byte_convnet.learn(docs.where(byte_convnet.fold() != 2).select("doc_id", "text", "lang"))
-    marked = byte_convnet.identified(docs, net, "__lang", "__score")
-    return marked.where(f"__lang <> '{byte_convnet.UNKNOWN}' and __score >= {byte_convnet.SURE}").drop("__lang", "__score")
+    marked = byte_convnet.identified(docs, net, "__lang", "__score", "__any")
+    return marked.where(f"__lang <> '{byte_convnet.UNKNOWN}' and __any >= {byte_convnet.SURE}").drop("__lang", "__score", "__any")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
