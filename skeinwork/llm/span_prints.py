@@ -10,7 +10,7 @@ A fingerprint has a bounded size. Arrays are built over BLOCK code points at a t
 bounded memory.
 
 Cases: null is the empty text; texts that repeat have the same fingerprint; the neighbour of the last document is the first;
-rows are ordered by (doc_id, text), a null id first; an empty table gives an empty result; extra columns are ignored.
+rows are ordered by (doc_id, hash of the text, text), a null id first; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 from base64 import urlsafe_b64decode, urlsafe_b64encode
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -235,40 +236,61 @@ def _neighbours(batches):
 def fingerprints(docs: DataFrame, per_bucket: int = 4000, most: int = 65536) -> DataFrame:
     """Each document's fingerprint, its edited text's, and the likeness to both neighbours in order of doc_id.
 
-    The order is cut into buckets by quantiles of doc_id, `most` at most, each of about per_bucket rows up to that number. A
-    bucket also gets the first row of the next one (of the last: the first row of all), so that every row meets its
-    neighbour in one shuffle of the texts and rows stream through a sort. Ids that repeat stay in one bucket.
+    The order is cut into buckets by quantiles of doc_id, `most` at most, each of about per_bucket rows up to that number; an id
+    that fills several is cut further by ranges of the hash of its texts. A bucket is a partition, and also gets the first row
+    of the next one (of the last: the first row of all), so that every row meets its neighbour in one shuffle of the texts and
+    rows stream through a sort. Rows with the same id and text stay in one bucket.
     """
-    ids = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("id"))
+    spark = docs.sparkSession
+    id_, h = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))), F.xxhash64(F.coalesce("text", F.lit("")))
+    ids = docs.select(id_.alias("id"))
     n = ids.count()
     if not n:
-        return docs.sparkSession.createDataFrame([], SCHEMA)
+        return spark.createDataFrame([], SCHEMA)
     count = max(1, min(most, n // per_bucket))
-    cuts = sorted({int(x) for x in ids.stat.approxQuantile("id", [k / count for k in range(1, count)], 0.2 / count)}) if count > 1 else []
     # approxQuantile gives doubles; a cut need not be an id, only the same for all rows.
-    width, step = 1 + len(cuts), math.isqrt(len(cuts)) + 1
+    found = [int(x) for x in ids.stat.approxQuantile("id", [k / count for k in range(1, count)], 0.2 / count)] if count > 1 else []
+    cuts = sorted(set(found))
+    step = math.isqrt(len(cuts)) + 1
     groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-
-    def bucket_of(c):
-        """The number of cuts up to c, by two short scans."""
+    # A cut that comes m times is an id with some m buckets' rows: its bucket is cut into m by the hash, and what follows the id goes to the last.
+    times = Counter(found)
+    parts = [1, *(times[c] for c in cuts)]
+    start = [0]
+    for m in parts:
+        start.append(start[-1] + m)
+    width = start.pop()
+
+    def looked_up(values: list[int], at):
+        return F.element_at(F.lit(values).cast("array<long>"), at + 1)
+
+    def bucket_of(c, hashed):
+        """The number of cuts up to c, by two short scans, and the range of the hash."""
         if not cuts:
             return F.lit(0)
         group = F.size(F.filter(F.lit([g[0] for g in groups]).cast("array<long>"), lambda x: x <= c))
         inner = F.element_at(F.lit([g + [(1 << 63) - 1] * (step - len(g)) for g in groups]).cast("array<array<long>>"), F.greatest(group, F.lit(1)))
-        return F.when(group == 0, 0).otherwise((group - 1) * step + F.size(F.filter(inner, lambda x: x <= c)))
-
-    spans = ids.select(F.col("id"), bucket_of(F.col("id")).alias("b")).groupBy("b").agg(F.min("id").alias("first")).orderBy("b").collect()  # `most` rows at most
+        base = F.when(group == 0, 0).otherwise((group - 1) * step + F.size(F.filter(inner, lambda x: x <= c)))
+        if width == len(parts):
+            return base
+        m = looked_up(parts, base)
+        spot = F.when(c == looked_up([-(1 << 63), *cuts], base), F.shiftright((F.shiftright(hashed, 32) + F.lit(1 << 31)) * m, 32)).otherwise(m - 1)
+        return (looked_up(start, base) + spot).cast("int")
+
+    rows = docs.select("doc_id", "text", id_.alias("id"), h.alias("h"))
+    rows = rows.withColumn("b", bucket_of(F.col("id"), F.col("h")))
+    # `most` rows, or as many again as hot ids were cut into.
+    spans = rows.groupBy("b").agg(F.min(F.struct("id", "h")).alias("first")).orderBy("b").collect()
     held = [r["b"] for r in spans]
-    before = {r["first"]: held[i - 1] for i, r in enumerate(spans)}
-    # Of rows that share the first id only the first by text is wanted; all are sent, and the sort puts them last in the bucket before.
-    rows = docs.select(F.col("doc_id"), F.col("text"), F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("id"))
-    rows = rows.withColumn("b", bucket_of(F.col("id")))
-    firsts = docs.sparkSession.createDataFrame([(k, v) for k, v in before.items()], "id long, prior int")
-    rows = rows.join(F.broadcast(firsts), "id", "left")
+    firsts = spark.createDataFrame([(r["first"]["id"], r["first"]["h"], held[i - 1]) for i, r in enumerate(spans)], "id long, h long, prior int")
+    # Of rows that share the first id and hash only the first by text is wanted; all are sent, and the sort puts them last in the bucket before.
+    rows = rows.join(F.broadcast(firsts), ["id", "h"], "left")
     rows = rows.withColumn("copy", F.explode(F.when(F.col("prior").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
     at = F.when(F.col("copy") == 0, F.col("b")).otherwise(F.col("prior"))
-    rows = rows.select(at.alias("bucket"), "doc_id", "text", "copy")
-    return rows.repartition(width, "bucket").sortWithinPartitions("bucket", "copy", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).mapInArrow(_trimmed, SCHEMA)
+    rows = rows.select(at.cast("int").alias("bucket"), "doc_id", "text", "copy", "h")
+    # A bucket is its partition's number: hashed numbers would leave some partitions empty and fill others twice.
+    rows = rows.repartitionById(width, "bucket").sortWithinPartitions("bucket", "copy", F.col("doc_id").asc_nulls_first(), "h", F.col("text").asc_nulls_first())
+    return rows.drop("h").mapInArrow(_trimmed, SCHEMA)
 
 
 def _trimmed(batches):

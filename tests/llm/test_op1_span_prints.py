@@ -1,6 +1,9 @@
 import hashlib
 import random
 
+import xxhash
+from pyspark.sql import functions as F
+
 from skeinwork.llm import span_prints as S
 
 
@@ -36,8 +39,9 @@ def test_likeness(prose):
 
 
 def expected(rows):
-    """The contract, by loops. Rows by (doc_id, text), a null id first."""
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    """The contract, by loops. Rows by (doc_id, hash of the text, text), a null id first."""
+    signed = lambda t: (x := xxhash.xxh64_intdigest((t or "").encode(), 42)) - (x >> 63 << 64)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1]), r[1] is not None, r[1] or ""))
     out = []
     for i, (k, t) in enumerate(order):
         t, n = t or "", order[(i + 1) % len(order)][1] or ""
@@ -60,6 +64,22 @@ def test_query_against_brute_force(documents, prose):
         check(documents(rows), rows, per_bucket=size)
 
 
+def test_a_hot_id_is_cut_by_its_texts(documents, prose, monkeypatch):
+    rows = [(i, prose(i, 4)) for i in range(-40, 40)] + [(None, prose(i, 4)) for i in range(100, 160)] + [(7, prose(i, 4)) for i in range(200, 300)]
+    check(documents(rows), rows, per_bucket=10)
+    df, seen = documents(rows), []
+    split = type(df).repartitionById
+
+    def watched(self, n, column):
+        seen.append((n, self.where("copy = 0").groupBy(column).count().agg(F.max("count")).first()[0]))
+        return split(self, n, column)
+
+    monkeypatch.setattr(type(df), "repartitionById", watched)
+    S.fingerprints(df, per_bucket=10)
+    ((width, most),) = seen
+    assert width >= 20 and most <= 40
+
+
 def test_small_tables(documents):
     assert S.fingerprints(documents([])).count() == 0
     check(documents([(5, "one")]), [(5, "one")])
