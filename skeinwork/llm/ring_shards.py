@@ -6,10 +6,12 @@ bounds are the two whole numbers next to the mean and sum to the number of rows,
 slack e each bound is ceil((1 + e) * mean) and fewer keys leave their own shard.
 
 How many keys of each arc go where depends on the counts by arc alone, so the driver plans with at most shards * vnodes
-numbers, whatever the input. Rows then need only their rank in their arc, which a window over narrow rows (no text) gives.
+numbers, whatever the input. Rows then need only their rank in their arc: an arc is cut into RANGES by a hash of the whole row,
+whose counts are summed up along the arc, and a window over narrow rows (no text) ranks each range, so that a key with a third
+of all rows is spread over as many tasks.
 
 Cases: a null key hashes like any other value; null text has size 16 and the crc32 of the empty text; repeated rows are kept,
-and ranked by multiplicity, so that a key that holds a third of all rows is combined before the shuffle; an empty table gives
+and ranked by multiplicity, so that one row that is a third of all is combined before the shuffle; an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -26,7 +28,7 @@ from pyspark.sql.window import Window
 
 from .common import table
 
-CELLS = 1 << 16
+CELLS, RANGES = 1 << 16, 64
 #: Repeats of one row that are written out by one step of an explode.
 REPEATS = 1 << 16
 
@@ -110,10 +112,16 @@ def shard_rows(df: DataFrame, key: str, shards: int, vnodes: int = 64, slack: fl
     counts = {r["__arc"]: r["count"] for r in counted.collect()}  # shards * vnodes rows at most
     runs = spark.createDataFrame(plan(points, counts, shards, slack), "__arc int, __from long, __to long, shard int, __slot long")
     names = [key, *(carry or {})]
-    many = placed.groupBy("__arc", "__h", *names).agg(F.count("*").alias("__n"))
-    order = Window.partitionBy("__arc").orderBy("__h", *[F.col(c).asc_nulls_first() for c in names])
-    first = (F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__rank")
-    ranked = many.select("__arc", *names, "__n", first)
+    part = F.pmod(F.xxhash64("__h", *names), F.lit(RANGES)).cast("int")
+    many = placed.groupBy("__arc", part.alias("__range"), "__h", *names).agg(F.count("*").alias("__n"))
+    # RANGES rows an arc: shards * vnodes * RANGES at most.
+    ranges = placed.groupBy("__arc", part.alias("__range")).agg(F.count("*").alias("__in"))
+    below = F.sum("__in").over(Window.partitionBy("__arc").orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__in")
+    ranges = F.broadcast(ranges.select("__arc", "__range", below.alias("__below")))
+    order = Window.partitionBy("__arc", "__range").orderBy("__h", *[F.col(c).asc_nulls_first() for c in names])
+    first = F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
+    ranked = many.select("__arc", "__range", *names, "__n", first.alias("__rank")).join(ranges, ["__arc", "__range"])
+    ranked = ranked.select("__arc", *names, "__n", (F.col("__rank") + F.col("__below")).alias("__rank"))
     blocks = ranked.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__n - 1) div {REPEATS}L"))))
     rows = blocks.withColumn("__k", F.explode(F.sequence(F.col("__block") * REPEATS, F.least((F.col("__block") + 1) * REPEATS, F.col("__n")) - 1)))
     rows = rows.withColumn("__rank", F.col("__rank") + F.col("__k"))

@@ -26,6 +26,18 @@ def test_a_hot_key_spreads(documents):
     check(documents(rows), rows)
 
 
+def test_a_hot_id_with_many_texts(documents):
+    rows = [(None, f"text {i}") for i in range(500)] + [(1, f"text {i % 50}") for i in range(500)] + [(i, "x") for i in range(500)]
+    assert check(documents(rows), rows) == check(documents(rows[::-1]).repartition(5), rows)
+
+
+def test_bounded_loads_move_little(documents):
+    """The same keys on 20 and 21 shards, with a quarter of room to spare: about one in 21 has to move."""
+    docs = documents([(i, None) for i in range(8000)])
+    a, b = [{r.doc_id: r.shard for r in R.shard_rows(docs, "doc_id", n, 64, 0.25).collect()} for n in (20, 21)]
+    assert max(Counter(a.values()).values()) <= 500 and sum(a[i] != b[i] for i in a) < 0.12 * len(a)
+
+
 def test_small_tables(documents):
     check(documents([]), [])
     check(documents([(1, "a"), (2, "b")]), [(1, "a"), (2, "b")])
