@@ -30,6 +30,11 @@ def is_json_object(text: pd.Series) -> pd.Series:
     return text.map(check)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column whose value is worked out once a row. A plain column is inlined wherever a filter or a field of it is used, and parsed there again; a generator isn't."""
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def decode(df: DataFrame, text: str, schema: str, out: str = "record", strict: bool = False) -> DataFrame:
     """Adds the decoded object and drops rows that aren't one.
 
@@ -40,7 +45,7 @@ def decode(df: DataFrame, text: str, schema: str, out: str = "record", strict: b
     held = df.where(whole.endswith("}"))
     if strict:
         held = held.where(is_json_object(F.col(text)))
-    parsed = held.withColumn(out, F.from_json(text, f"{schema}, __broken string", {"columnNameOfCorruptRecord": "__broken"}))
+    parsed = once(held, out, F.from_json(text, f"{schema}, __broken string", {"columnNameOfCorruptRecord": "__broken"}))
     return parsed.where(F.col(f"{out}.__broken").isNull() & F.col(out).isNotNull()).withColumn(out, F.col(out).dropFields("__broken"))
 
 

@@ -58,8 +58,7 @@ def request_types(records: DataFrame, by=()) -> DataFrame:
 
 
 def http_status_counts(records: DataFrame, by=()) -> DataFrame:
-    status = F.col("record.status")
-    return counts(records, F.when(status != "0", status), "http_status", by)
+    return counts(records, F.col("record.status"), "http_status", by)
 
 
 def mime_counts(records: DataFrame, by=()) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
@@ -52,7 +54,7 @@ def tags(spark, d) -> DataFrame:
 
 
 def events(spark, d) -> DataFrame:
-    return table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    return X.once(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "k", F.get_json_object("props", "$.k").cast("long"))
 
 
 def log_lines(spark, d, cut: int | None = None) -> DataFrame:
@@ -68,7 +70,9 @@ def log_lines(spark, d, cut: int | None = None) -> DataFrame:
     )
     if cut:
         text = F.when(F.col("event_id") % cut == 0, F.substring(text, 1, 40)).otherwise(text)
-    return e.select(F.col("user_id").alias("job"), F.lit("all.log").alias("path"), F.col("event_id").alias("offset"), text.alias("line")).withColumn("bytes", (F.octet_length("line") + 1).cast("long"))
+    # A line is a value, as if read: filters and fields don't make it anew.
+    held = X.once(e.select(F.col("user_id").alias("job"), F.lit("all.log").alias("path"), F.col("event_id").alias("offset"), text.alias("text")), "line", F.col("text"))
+    return held.drop("text").withColumn("bytes", (F.octet_length("line") + 1).cast("long"))
 
 
 LOG_SQL = """

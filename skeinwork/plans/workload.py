@@ -50,7 +50,7 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-# ---- CDX statistics ----------------------------------------------------------------------------------------------------
+# CDX statistics
 
 EXT_SQL = r"""
   with p as (select regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1) as path from pages where url is not null and url <> ''),
@@ -72,7 +72,7 @@ def url_extension_share(spark, d):
     return S.shares(_extensions(spark, d)).withColumn("share", F.round("share", 6))
 
 
-# ---- log statistics ----------------------------------------------------------------------------------------------------
+# log statistics
 
 
 @query(f"select job, count(*) as lines, cast(sum(strlen(line) + 1) as bigint) as bytes from ({V.LINE_SQL}) group by 1")
@@ -146,7 +146,7 @@ def count_map_exploded(spark, d):
     return m.select(F.explode("counts").alias("key", "n")).withColumn("key", F.when(F.col("key") == "general", "other").otherwise(F.col("key")))
 
 
-# ---- rates between polls -----------------------------------------------------------------------------------------------
+# rates between polls
 
 POLL_SQL = """
   with day as (select user_id as snapshot_id, date_trunc('day', ts) as poll, max(ts) as last_update, count(*) filter (where event_type in ('view', 'error')) as l, count(*) filter (where event_type = 'click') as c,
@@ -184,7 +184,7 @@ def stall_flags(spark, d):
     return M.derived(_polls(spark, d)).select("snapshot_id", F.date_format("poll", "yyyy-MM-dd").alias("day"), "log_stalled", "cdx_stalled", "js_heavy")
 
 
-# ---- seeds and lists ---------------------------------------------------------------------------------------------------
+# seeds and lists
 
 TAG_SQL = """
   with bridge as (select distinct o_custkey as website_id, p_type as tag from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey),
@@ -250,7 +250,7 @@ def latest_snapshot_per_website(spark, d):
     return out.select("website_id", "id", F.when(F.col("status") == "completed", "F").when(F.col("status") == "crawling", "O").otherwise("P").alias("status"))
 
 
-# ---- catalog -----------------------------------------------------------------------------------------------------------
+# catalog
 
 
 @query("select l_orderkey as snapshot_id, count(*) as item_count, cast(sum(trunc(l_extendedprice)) as bigint) as size from lineitem group by 1")
@@ -322,10 +322,11 @@ def upsert_merge(spark, d):
     return K.upsert(old, new, ["id"])
 
 
-@query("""select 'http://p/' || k as url, count(*) as n from (select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events where event_type = 'view') where k not in (select cast(json_extract_string(props, '$.k') as bigint) from events where event_type = 'error' and user_id < 20) group by 1""")
+@query("""with e as (select event_type, 'http://p/' || user_id || '/' || json_extract_string(props, '$.k') as url from events)
+  select url, count(*) as n from e where event_type = 'view' and url not in (select url from e where event_type = 'error') group by 1""")
 def cdx_unpublish(spark, d):
-    e = V.events(spark, d).withColumn("url", F.concat(F.lit("http://p/"), F.col("k")))
-    index, lines = e.where("event_type = 'view'").select("url"), e.where("event_type = 'error' and user_id < 20").select("url")
+    e = V.events(spark, d).withColumn("url", F.concat(F.lit("http://p/"), F.col("user_id"), F.lit("/"), F.col("k")))
+    index, lines = e.where("event_type = 'view'").select("url"), e.where("event_type = 'error'").select("url")
     return K.unpublish_index(index, lines).groupBy("url").agg(F.count("*").alias("n"))
 
 
@@ -337,7 +338,7 @@ def scalar_subquery_fill(spark, d):
     return K.fill_justification(w, t).select("id", F.col("publicationJustification").alias("justification"))
 
 
-# ---- tasks -------------------------------------------------------------------------------------------------------------
+# tasks
 
 
 @query(TASK_SQL + " select action, case when action = 'no_such_action' then 'failed' else 'dispatched' end as dispatch_status, case when action = 'no_such_action' then 'Unsupported task action: no_such_action' end as dispatch_message, count(*) as n from task group by 1, 2, 3")
@@ -421,7 +422,7 @@ def resolve_identifier(spark, d):
     return L.resolve(ids, s, V.websites(spark, d))
 
 
-# ---- functions ---------------------------------------------------------------------------------------------------------
+# functions
 
 
 @query("select p_partkey as id, 'size' as key, cast(p_size as varchar) as value from part union all select p_partkey, 'brand', p_brand from part where p_partkey % 2 = 0")
@@ -494,9 +495,9 @@ def safe_int_lookup(spark, d):
     return V.table(spark, d, "part").select(F.col("p_partkey").alias("id"), X.whole_number(F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")).otherwise(F.col("p_name"))).alias("number"))
 
 
-@query("select o_orderkey as id, case when b >= 1048576 then printf('%.1f MB', b / 1048576) when b >= 1024 then printf('%.1f KB', b / 1024) else cast(cast(b as bigint) as varchar) || case when b = 1 then ' byte' else ' bytes' end end as size from (select o_orderkey, cast(o_orderkey * o_orderkey as double) as b from orders where o_orderkey < 20000)")
+@query("select o_orderkey as id, case when b >= 1099511627776 then printf('%.1f TB', b / 1099511627776) when b >= 1073741824 then printf('%.1f GB', b / 1073741824) when b >= 1048576 then printf('%.1f MB', b / 1048576) when b >= 1024 then printf('%.1f KB', b / 1024) else cast(cast(b as bigint) as varchar) || case when b = 1 then ' byte' else ' bytes' end end as size from (select o_orderkey, cast(o_orderkey * o_orderkey as double) as b from orders)")
 def human_size(spark, d):
-    o = V.table(spark, d, "orders").where("o_orderkey < 20000")
+    o = V.table(spark, d, "orders")
     return o.select(F.col("o_orderkey").alias("id"), N.human_size(F.col("o_orderkey") * F.col("o_orderkey")).alias("size"))
 
 
@@ -528,11 +529,10 @@ def scope_claim(spark, d):
 @query("select n_name as name from nation where n_nationkey % 4 <> 0 and n_name not in (select n_name from nation where n_nationkey % 6 = 1)")
 def active_queues(spark, d):
     n = V.table(spark, d, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("k"), (F.col("n_nationkey") % 4 == 0).alias("paused"))
-    off = [r["name"] for r in n.where("k % 6 = 1").collect()]  # names of a settings list
-    return jobs.active_queues(n, off).select("name")
+    return jobs.active_queues(n, n.where("k % 6 = 1").select("name")).select("name")
 
 
-# ---- containers and documents ------------------------------------------------------------------------------------------
+# containers and documents
 
 _CONTAINER_SQL = """
   with c as (select o_orderkey as id, o_orderkey % 5 <> 0 as live, o_orderkey % 7 = 0 as idle, o_totalprice as price, case when o_orderkey % 3 = 0 then 1 else 4 end as cpus from orders)
@@ -640,7 +640,7 @@ def task_payload(spark, d):
     return Z.task_payloads(t).select("uid", "document.action", F.col("document.updateTime").alias("updated"), "document.status")
 
 
-# ---- streaming ---------------------------------------------------------------------------------------------------------
+# streaming
 
 
 @query("select event_type as context, count(*) as n, cast(sum(strlen(props)) as bigint) as bytes from events group by 1")

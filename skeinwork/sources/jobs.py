@@ -26,5 +26,8 @@ def flag(control: DataFrame, key: str) -> DataFrame:
 
 
 def active_queues(queues: DataFrame, excluded=("default", "task_sync", "cron")) -> DataFrame:
-    """Queues that may be worked on: not excluded and not paused."""
-    return queues.where(~F.col("name").isin(*excluded) & ~F.coalesce("paused", F.lit(False)))
+    """Queues that may be worked on: not excluded (names, or a table of them) and not paused."""
+    held = queues.where(~F.coalesce("paused", F.lit(False)))
+    if isinstance(excluded, DataFrame):
+        return held.join(excluded.select("name"), "name", "left_anti").select(*queues.columns)
+    return held.where(~F.col("name").isin(*excluded))

@@ -14,12 +14,21 @@ from pyspark.sql import functions as F
 
 from .files import warcs
 
-STEP, HEAD = 1 << 20, 1 << 16
+STEP = 1 << 20
 SCHEMA = "filename string, offset long, length long, type string, url string, date string, mime string, status string, payload_digest string"
+END = b"\r\n\r\n"
+
+
+def _told(head: bytes) -> bool:
+    """Whether the start of a record says all that is asked: its own fields and, of an HTTP response, those of the reply."""
+    own, end, body = head.partition(END)
+    if not end:
+        return False
+    return _fields(own).get("warc-type") != "response" or END in body or len(body) > 5 and not body.startswith(b"HTTP/")
 
 
 def _members(path: str) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, length in the file, first HEAD bytes of the content) of each record."""
+    """(offset, length in the file, content up to the end of its fields at least) of each record. Fields of any length are read whole; content isn't kept."""
     with open(path, "rb") as f:
         packed = f.read(2) == b"\x1f\x8b"
         f.seek(0)
@@ -30,15 +39,17 @@ def _members(path: str) -> Iterator[tuple[int, int, bytes]]:
                 ended = not data
             if not data:
                 return
-            head, used = b"", 0
+            head, told, used = b"", False, 0
             if packed:
                 z = zlib.decompressobj(31)
                 while not z.eof:
                     try:
-                        out = z.decompress(data, HEAD * 4)
+                        out = z.decompress(data, STEP)
                     except zlib.error:
                         return
-                    head = (head + out)[:HEAD]
+                    if not told:
+                        head += out
+                        told = _told(head)
                     rest = z.unused_data if z.eof else z.unconsumed_tail
                     used += len(data) - len(rest)
                     data = rest
@@ -48,17 +59,16 @@ def _members(path: str) -> Iterator[tuple[int, int, bytes]]:
                             return
                 yield at, used, head
             else:
-                while b"\r\n\r\n" not in data and len(data) < HEAD and (more := f.read(STEP)):
+                while END not in data and (more := f.read(STEP)):
                     data += more
-                end = data.find(b"\r\n\r\n")
+                end = data.find(END)
                 if end < 0:
                     return
                 size = next((int(x.split(b":", 1)[1]) for x in data[:end].split(b"\r\n") if x.lower().startswith(b"content-length:")), 0)
                 used = end + 4 + size + 4
-                while len(data) < min(used, HEAD) and (more := f.read(STEP)):
+                while len(data) < used and not _told(data[:used]) and (more := f.read(STEP)):
                     data += more
-                head = data[: min(used, HEAD)]
-                yield at, used, head
+                yield at, used, data[:used]
                 if len(data) < used:
                     f.seek(at + used)
                     data = b""
@@ -68,7 +78,7 @@ def _members(path: str) -> Iterator[tuple[int, int, bytes]]:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    lines = head.split(b"\r\n\r\n", 1)[0].decode("utf-8", "replace").split("\r\n")
+    lines = head.split(END, 1)[0].decode("utf-8", "replace").split("\r\n")
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
 
 
@@ -77,7 +87,7 @@ def records(path: str) -> Iterator[tuple]:
         own = _fields(head)
         kind, mime, status = own.get("warc-type"), own.get("content-type"), None
         if kind == "response":
-            body = head.split(b"\r\n\r\n", 1)[1] if b"\r\n\r\n" in head else b""
+            body = head.partition(END)[2]
             first = body.split(b"\r\n", 1)[0].split(b" ")
             status = first[1].decode("ascii", "replace") if len(first) > 1 and first[0].startswith(b"HTTP/") else None
             mime = _fields(body).get("content-type", "").split(";")[0].strip() or None

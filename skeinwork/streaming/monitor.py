@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import text as X
 from ..operators import crawl_stats as S
-from ..schemas import CDX_RECORD, LOG_RECORD
+from ..schemas import LOG_RECORD
+from ..sources.lines import cdx_records, log_records
 from ..sources.tail import tail
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,13 +31,11 @@ def lines(spark: SparkSession, logs: str, indexes: str, snapshot_id: int) -> Dat
 
 
 def log_events(lines_: DataFrame) -> DataFrame:
-    held = lines_.where("src = 'log'").withColumn("payload", X.payload(F.col("line"))).where(F.col("payload").isNotNull())
-    return X.decode(held, "payload", LOG_RECORD)
+    return log_records(lines_.where("src = 'log'"))
 
 
 def cdx_events(lines_: DataFrame) -> DataFrame:
-    held = lines_.where("src = 'cdx'").withColumn("payload", X.payload(F.col("line"))).where(F.col("payload").isNotNull())
-    return X.decode(held, "payload", CDX_RECORD)
+    return cdx_records(lines_.where("src = 'cdx'"))
 
 
 def context_counts(lines_: DataFrame) -> DataFrame:
@@ -97,7 +96,8 @@ class PollProcessor(StatefulProcessor):
 
 def poll_rows(lines_: DataFrame) -> DataFrame:
     """What a poll needs of each line: all lines count, few have values."""
-    r = F.from_json(X.payload(F.col("line")), LOG_RECORD)
+    lines_ = X.once(lines_, "record", F.from_json(X.payload(F.col("line")), LOG_RECORD))
+    r = F.col("record")
     log, status = F.col("src") == "log", r.context == "crawlStatus"
     start = (r.context == "worker") & (r.message == "Starting page")
     return lines_.select(
