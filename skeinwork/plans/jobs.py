@@ -39,10 +39,14 @@ def cleanup_orphans(snapshots: DataFrame, directories: DataFrame, warcs: DataFra
     return out if dry_run else out | K.cascade_delete(gone.select("id"), snapshots, warcs, deliveries, tasks)
 
 
-def archive(spark, catalog: DataFrame, directory: str, snapshot_id: int) -> dict[str, DataFrame]:
-    """A finished crawl's files into the long-term catalog, with digests and the snapshot's totals."""
+def archive(spark, catalog: DataFrame, directory: str, snapshot_id: int, target: str | None = None) -> dict[str, DataFrame]:
+    """A finished crawl's files into the long-term catalog, with digests and the snapshot's totals; with a target they are copied there first, and are in the catalog by their new paths."""
     listed = files.warcs(spark, directory)
-    hashed = listed.join(files.digests(spark, directory, "*.{warc,warc.gz}"), "path")
+    if target:
+        files.transferred(files.indexes(spark, directory), target).write.format("noop").mode("overwrite").save()
+        hashed = files.transferred(listed, target)
+    else:
+        hashed = listed.join(files.digests(spark, directory, "*.{warc,warc.gz}"), "path")
     out = K.register(catalog, hashed, snapshot_id)
     return {"warc": out, "totals": K.rollup(out.where(F.col("snapshot_id") == snapshot_id))}
 

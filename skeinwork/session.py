@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -35,3 +39,30 @@ def ship(spark: SparkSession) -> SparkSession:
     if ROOT not in parts:
         env["PYTHONPATH"] = os.pathsep.join([*parts, ROOT])
     return spark
+
+
+_own: list[str] = []
+_made: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh path in the folder that spark.checkpoint.dir names, which all executors reach. Where that is unset: in local mode one that goes with the process, else one beside the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="skeinwork-"))
+            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+        base = f"file://{_own[0]}"
+    elif not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
+    _made.append(f"{base.rstrip('/')}/skein-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the folders that this process made with `shared_folder`, for when the results that read them are used up; how many there were."""
+    paths, _made[:] = list(_made), []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)

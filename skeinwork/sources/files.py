@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import shutil
+from datetime import datetime, timezone
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -15,7 +19,7 @@ CHUNK = 1 << 20
 
 
 def listing(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """filename, path, size_bytes, created_at of the matching files; contents aren't read. No rows for a missing directory."""
+    """filename, path, size_bytes, created_at of the matching files; contents aren't read. No rows for a missing directory, nor for files of no bytes."""
     from pyspark.errors import AnalysisException
 
     try:
@@ -54,6 +58,65 @@ def chunked_sha256(path: pd.Series) -> pd.Series:
     return path.map(one)
 
 
+COPIED = "filename string, path string, size_bytes long, sha256 string, created_at timestamp"
+
+
+def transferred(listed: DataFrame, target: str, remove: bool = False) -> DataFrame:
+    """Copies listed files (filename, path) into the folder `target`, on the workers: a row for each with its new path, size, digest and time.
+
+    A copy is written beside its place, read back, compared and then renamed, so that doing it again does no harm; with `remove`
+    the original goes only after that, and one that has gone is looked for at its target. Paths are ones that the workers can open.
+    """
+    folder = target.removeprefix("file://").removeprefix("file:")
+
+    def digest(path: str) -> str:
+        h = hashlib.sha256()
+        with open(path, "rb") as f:
+            while part := f.read(CHUNK):
+                h.update(part)
+        return h.hexdigest()
+
+    def each(batches):
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            rows = []
+            for name, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                source, place = path.removeprefix("file://").removeprefix("file:"), os.path.join(folder, name)
+                if os.path.exists(source) and os.path.abspath(source) != os.path.abspath(place):
+                    own = digest(source)
+                    shutil.copy2(source, part := f"{place}.{os.getpid()}.part")
+                    if digest(part) != own:
+                        raise OSError(f"the copy of {source} differs from it")
+                    os.replace(part, place)
+                    if remove:
+                        os.remove(source)
+                else:
+                    own = digest(place)
+                stat = os.stat(place)
+                rows.append((name, place, stat.st_size, own, datetime.fromtimestamp(stat.st_mtime, timezone.utc)))
+            if rows:
+                kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.timestamp("us", "UTC")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in COPIED.split(", ")])
+
+    return listed.select("filename", "path").mapInArrow(each, COPIED)
+
+
+def removed(listed: DataFrame) -> DataFrame:
+    """Deletes listed files, on the workers: path and whether it was there."""
+    def each(batches):
+        for batch in batches:
+            paths, there = batch.column(0).to_pylist(), []
+            for p in paths:
+                try:
+                    os.remove(p.removeprefix("file://").removeprefix("file:"))
+                    there.append(True)
+                except FileNotFoundError:
+                    there.append(False)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(there, pa.bool_())], names=["path", "removed"])
+
+    return listed.select("path").mapInArrow(each, "path string, removed boolean")
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """A stored table; filters and columns reach the scan."""
     return spark.read.parquet(f"{directory}/{name}.parquet")

@@ -71,7 +71,7 @@ def read_lines(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
 def read_text(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """path, line and bytes without positions: one scan, none of it in Python."""
     raw = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(directory)
-    return raw.select(F.col("_metadata.file_path").alias("path"), F.rtrim(F.lit("\r"), "value").alias("line"), (F.octet_length("value") + 1).cast("long").alias("bytes"))
+    return raw.select(F.col("_metadata.file_path").alias("path"), F.rtrim(F.col("value"), F.lit("\r")).alias("line"), (F.octet_length("value") + 1).cast("long").alias("bytes"))
 
 
 def read_log_lines(spark: SparkSession, directory: str) -> DataFrame:

@@ -6,12 +6,13 @@ counters at their value.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions import text as X
 from ..operators import crawl_stats as S
@@ -125,3 +126,35 @@ def changes(snapshots: DataFrame, key: str = "uid") -> DataFrame:
     """One notification for each changed row of a stream of saved snapshots; repeats of an event are dropped within the watermark."""
     held = snapshots.withColumn("updated_at", F.col("updated_at").cast("timestamp")).withWatermark("updated_at", "10 minutes")
     return held.dropDuplicatesWithinWatermark([key, "updated_at"])
+
+
+def every(spark: SparkSession, job: Callable[[int], None], checkpoint: str, seconds: float = 15):
+    """A query that runs a batch job every so many seconds, given the number of the run: a periodic import of task pages, say. A run that takes longer puts the next one off; one that fails ends the query with its error."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, run: job(run)).trigger(processingTime=f"{seconds} seconds").start()
+
+
+#: What a control action does to the query of a crawl's monitor.
+ENDS = ("crawl_suspend", "crawl_stop", "crawl_force_finish", "crawl_cancel")
+
+
+def governed(begin: Callable[[], StreamingQuery], wanted: Callable[[], str | None], seconds: float = 1) -> str | None:
+    """Runs a monitor until it ends or a control action asks for that; what ended it.
+
+    A suspended monitor waits for crawl_resume and goes on from its checkpoint with what `begin` starts; any other action of ENDS
+    is the last. `wanted` tells the newest action, such as the last row of a control table.
+    """
+    query = begin()
+    while True:
+        action = wanted()
+        if action in ENDS:
+            query.stop()
+            if action != "crawl_suspend":
+                return action
+            while (action := wanted()) != "crawl_resume":
+                if action in ENDS and action != "crawl_suspend":
+                    return action
+                time.sleep(seconds)
+            query = begin()
+        if query.awaitTermination(seconds):
+            return None

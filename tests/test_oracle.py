@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from skeinwork.plans import workload
+from skeinwork.plans import readers, workload  # noqa: F401 - readers adds its queries to the workload's
 
 D = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
