@@ -114,10 +114,10 @@ def shard_rows(df: DataFrame, key: str, shards: int, vnodes: int = 64, slack: fl
     names = [key, *(carry or {})]
     part = F.pmod(F.xxhash64("__h", *names), F.lit(RANGES)).cast("int")
     many = placed.groupBy("__arc", part.alias("__range"), "__h", *names).agg(F.count("*").alias("__n"))
-    # RANGES rows an arc: shards * vnodes * RANGES at most.
+    # RANGES rows an arc: shards * vnodes * RANGES at most, brought to the rows by the keys that these are windowed by.
     ranges = placed.groupBy("__arc", part.alias("__range")).agg(F.count("*").alias("__in"))
     below = F.sum("__in").over(Window.partitionBy("__arc").orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__in")
-    ranges = F.broadcast(ranges.select("__arc", "__range", below.alias("__below")))
+    ranges = ranges.select("__arc", "__range", below.alias("__below"))
     order = Window.partitionBy("__arc", "__range").orderBy("__h", *[F.col(c).asc_nulls_first() for c in names])
     first = F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
     ranked = many.select("__arc", "__range", *names, "__n", first.alias("__rank")).join(ranges, ["__arc", "__range"])
