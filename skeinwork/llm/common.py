@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 #: Rows of whole texts that one Arrow batch is cut into before arrays are built on it: characters at most, one text at least.
 SLICE_CHARS = 1 << 21
 
@@ -46,24 +44,8 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(each, schema)
 
 
-_own: list[str] = []
-
-
-def folder(spark: SparkSession) -> str:
-    """A fresh path in the shared folder spark.checkpoint.dir. Where that is unset: in local mode one that goes with the process, else one beside the warehouse, which all executors reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="skeinwork-"))
-            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
-        base = f"file://{_own[0]}"
-    elif not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
-    return f"{base.rstrip('/')}/skein-{uuid.uuid4().hex}"
-
-
 def settled(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: its lineage is cut, and a lost executor loses nothing."""
     spark = df.sparkSession
-    df.write.parquet(path := folder(spark))
+    df.write.parquet(path := shared_folder(spark))
     return spark.read.schema(df.schema).parquet(path)
