@@ -50,3 +50,10 @@ def with_snapshot(payloads: DataFrame, snapshots: DataFrame, websites: DataFrame
     w = websites.select(F.col("id").alias("website_id"), F.col("url").alias("website_url"))
     out = payloads.join(s, "snapshot_id", "left").join(w, "website_id", "left")
     return out.withColumn("snapshot", F.struct(F.col("snapshot_id").alias("id"), F.col("website_url").alias("website"), F.col("snapshot_status").alias("status"), T.to_iso(now).alias("updated_at"))).drop("snapshot_status", "website_id", "website_url")
+
+
+def stored(snapshots: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Snapshots with the newest figures of their container (rows of `with_snapshot`) in container_stats, as JSON; the others keep theirs."""
+    document = F.to_json(F.struct(*[c for c in payloads.columns if c != "snapshot_id"]))
+    new = payloads.groupBy(F.col("snapshot_id").alias("id")).agg(F.max_by(document, F.col("snapshot.updated_at")).alias("__stats"))
+    return snapshots.join(new, "id", "left").withColumn("container_stats", F.coalesce("__stats", "container_stats")).select(*snapshots.columns)

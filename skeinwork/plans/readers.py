@@ -18,11 +18,13 @@ from ..operators import catalog as K
 from ..operators import container as B
 from ..operators import crawl_stats as S
 from ..operators import lookup as L
+from ..operators import queues as U
 from ..operators import serialize as Z
 from ..operators import sinks
 from ..operators import tasks as Q
 from ..session import shared_folder
-from ..sources import files, lines, warc
+from ..sources import files, lines, requests, warc
+from ..sources import jobs as registries
 from ..sources.pages import task_pages
 from ..streaming import monitor
 from . import jobs
@@ -438,3 +440,103 @@ def versioned_upserts(spark, d):
     for k, test in enumerate((F.col("last") <= bounds[0], (F.col("last") > bounds[0]) & (F.col("last") <= bounds[1]), F.col("last") > bounds[1], F.col("last") > bounds[1])):
         write(s.where(test).groupBy("id").agg(F.max("last").alias("last")), k)
     return table.read()
+
+
+# Requests, queues, flags
+
+
+@query("select c_custkey as id, case when c_custkey % 3 = 0 then c_mktsegment || ' & co' when c_custkey % 3 = 1 then '' end as tag, case when c_custkey % 2 = 0 then c_custkey end as body from customer")
+def request_inputs(spark, d):
+    c = V.table(spark, d, "customer")
+    k = F.col("c_custkey")
+    text = F.concat(F.lit("?page=2&tag="), F.replace(F.url_encode(F.concat("c_mktsegment", F.lit(" & co"))), F.lit("%20"), F.lit("+")), F.lit("&x=1"))
+    sent = c.select(k.alias("id"), F.when(k % 3 == 0, text).when(k % 3 == 1, "tag=").otherwise("?tags=no").alias("query"), F.when(k % 2 == 0, F.concat(F.lit('{"id":'), k, F.lit("}"))).otherwise('{"id":').alias("body"))
+    return sent.select("id", requests.query_parameter(F.col("query"), "tag").alias("tag"), requests.json_body(F.col("body"), "id bigint")["id"].alias("body"))
+
+
+@query("select s_suppkey as id, case when s_suppkey % 4 <> 0 then s_name end as name, s_suppkey % 4 = 1 as granted from supplier")
+def token_claims(spark, d):
+    s = V.table(spark, d, "supplier")
+    k = F.col("s_suppkey")
+    payload = F.to_json(F.struct(F.col("s_name").alias("name"), F.when(k % 4 == 1, "read write").otherwise("read").alias("scope")))
+    plain = lambda x: F.rtrim(F.translate(F.replace(F.base64(x.cast("binary")), F.lit("\r\n"), F.lit("")), "+/", "-_"), F.lit("="))
+    token = F.when(k % 4 == 0, "no token").otherwise(F.concat(plain(F.lit('{"alg":"x"}')), F.lit("."), plain(payload), F.lit(".sig")))
+    own = requests.claims(token)
+    return s.select(k.alias("id"), F.get_json_object(own, "$.name").alias("name"), X.scope_granted(F.get_json_object(own, "$.scope"), "write").alias("granted"))
+
+
+@query(TASKS_SQL.replace("o_orderkey as id,", "o_orderkey as id, o_orderdate as asked, 'crawls_' || case when o_orderpriority like '%LOW' then 'low' when o_orderpriority like '%HIGH' then 'high' else 'normal' end as queue,") + """,
+  first as (select uid from task where queue = 'crawls_high' order by asked, uid limit 100) select queue, count(*) as waiting, count(*) filter (where queue = 'crawls_high' and uid in (select uid from first)) as again from task where not (queue = 'crawls_high' and uid in (select uid from first)) group by 1""")
+def queue_table(spark, d):
+    """All tasks enqueued, the first hundred of one queue taken and done."""
+    U.enqueued(_tasks(spark, d), F.lit("2024-01-01").cast("timestamp")).write.parquet(path := shared_folder(spark))
+    queue = spark.read.parquet(path)
+    done = U.taken(queue, "crawls_high", 100)
+    left = U.without(queue, done)
+    again = left.join(done.select("queue", "uid", F.lit(1).alias("back")), ["queue", "uid"], "left")
+    return again.groupBy("queue").agg(F.count("*").alias("waiting"), F.count("back").alias("again"))
+
+
+@query("select n_name as key, n_nationkey % 2 = 0 as raised from nation where n_nationkey % 5 <> 0")
+def control_flags(spark, d):
+    """Flags set, set again and cleared."""
+    n = V.table(spark, d, "nation")
+    k = F.col("n_nationkey")
+    table = sinks.VersionedTable(spark, shared_folder(spark))
+    U.set_flags(table, n.select(F.col("n_name").alias("key"), F.lit("1").alias("value")))
+    U.set_flags(table, n.where(k % 2 != 0).select(F.col("n_name").alias("key"), F.lit("0").alias("value")))
+    U.clear_flags(table, n.where(k % 5 == 0).select(F.col("n_name").alias("key")))
+    return table.read().select("key", F.col("value").isin("1", "true", "True").alias("raised"))
+
+
+@query("select exists (select 1 from region where r_regionkey = 1) as raised")
+def lock_flag(spark, d):
+    r = V.table(spark, d, "region").select(F.concat(F.lit("k"), F.col("r_regionkey")).alias("key"), F.lit("true").alias("value"))
+    return registries.flag(r, "k1")
+
+
+@query("select o_orderkey as id, case when o_orderkey % 3 = 0 then 'exited' else 'old' end as status, case when o_orderkey % 3 = 0 then 'http://site' || o_custkey || '.example/' end as website from orders")
+def stored_container_stats(spark, d):
+    """The figures of every third snapshot's container written to it, the newest of two."""
+    s = V.snapshots(spark, d)
+    own = s.withColumn("container_stats", F.lit('{"state":{"status":"old"}}')).select("id", "container_stats")
+    told = lambda status, day: B.with_snapshot(s.where("id % 3 = 0").select(F.col("id").alias("snapshot_id"), F.struct(F.lit(status).alias("status")).alias("state")), s, V.websites(spark, d), F.lit(day).cast("timestamp"))
+    out = B.stored(own, told("running", "2024-01-01").unionByName(told("exited", "2024-01-02")))
+    g = lambda path: F.get_json_object("container_stats", path)
+    return out.select("id", g("$.state.status").alias("status"), g("$.snapshot.website").alias("website"))
+
+
+@query("select r_name as name, (select count(*) from orders) as orders, least((select count(*) from orders), 100) as counted from region where r_regionkey = 1")
+def point_lookup(spark, d):
+    """One row or an error, and a count after a limit."""
+    one = L.exactly_one(V.table(spark, d, "region").where("r_regionkey = 1"), "region").select(F.col("r_name").alias("name"))
+    o = V.table(spark, d, "orders")
+    return S.beside(one, o.agg(F.count("*").alias("orders")), o.limit(100).agg(F.count("*").alias("counted")))
+
+
+@query("select count(*) as n, count(*) as different, count(*) as fitting from supplier")
+def generated_ids(spark, d):
+    s = V.table(spark, d, "supplier").select(F.expr("uuid()").alias("uid"))
+    s.write.parquet(path := shared_folder(spark))
+    held = spark.read.parquet(path)
+    return held.agg(F.count("*").alias("n"), F.count_distinct("uid").alias("different"), F.count_if(X.uuid_like(F.col("uid"))).alias("fitting"))
+
+
+@query("select false as before, true as after, (select count(*) from region) as n")
+def missing_places(spark, d):
+    """A place isn't there, and is once it is written."""
+    path = shared_folder(spark)
+    before = sinks.exists(spark, path)
+    V.table(spark, d, "region").write.parquet(path)
+    n = spark.read.parquet(path).agg(F.count("*").alias("n"))
+    return n.select(F.lit(before).alias("before"), F.lit(sinks.exists(spark, path)).alias("after"), "n")
+
+
+@query("select count(*) as told, count(*) as different from orders")
+def change_notifications(spark, d):
+    """Every saved snapshot told once, though each event comes twice."""
+    s = V.snapshots(spark, d).select("uid", F.col("created_at").alias("updated_at"))
+    s.unionByName(s).write.parquet(path := shared_folder(spark))
+    stream = spark.readStream.schema(s.schema).parquet(path)
+    out = _followed(spark, monitor.changes(stream), [], "append")
+    return out.agg(F.count("*").alias("told"), F.count_distinct("uid").alias("different"))

@@ -158,3 +158,13 @@ def governed(begin: Callable[[], StreamingQuery], wanted: Callable[[], str | Non
             query = begin()
         if query.awaitTermination(seconds):
             return None
+
+
+def refreshed(view: Callable[[], DataFrame], show: Callable[[list], None], seconds: float = 5, times: int | None = None) -> None:
+    """Shows the rows of a bounded view (a page, a detail panel) again and again, as they are then."""
+    k = 0
+    while times is None or k < times:
+        show(view().collect())
+        k += 1
+        if times is None or k < times:
+            time.sleep(seconds)

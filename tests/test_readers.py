@@ -147,3 +147,26 @@ def test_control_of_a_running_monitor(spark, tmp_path):
 def test_standins_hold_their_lines_as_values(spark):
     plan = standins.log_lines(spark, "/root/testdata/sf0.001").where(F.col("line").contains("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("get_json_object") == 1
+
+
+def test_requests(spark):
+    from skeinwork.sources import requests as R
+
+    rows = ["tag=a%20b", "?x=1&tag=a+b#f", "tags=1", "tag=", None, "x=tag=1", "tag=%zz"]
+    df = spark.createDataFrame([(x,) for x in rows], "q string")
+    assert [r[0] for r in df.select(R.query_parameter(F.col("q"), "tag")).collect()] == ["a b", "a b", None, "", None, None, None]
+    bodies = spark.createDataFrame([(x,) for x in ('{"a":1}', '{"a":', "[1]", "", None, '{"b":2}')], "b string").select(R.json_body(F.col("b"), "a int").alias("r"))
+    assert [r.r and r.r.a for r in bodies.collect()] == [1, None, None, None, None, None]
+    tokens = spark.createDataFrame([(x,) for x in ("a.eyJhIjoiw6kifQ.c", "a.b.c", "", None, "a.W10.c", "a.!!!.c")], "t string")
+    assert [r[0] for r in tokens.select(R.claims(F.col("t"))).collect()] == ['{"a":"é"}', None, None, None, None, None]
+    now, made = [0.0], []
+    source = R.TokenSource(lambda: (made.append(1) or f"t{len(made)}", 100), 30, lambda: now[0])
+    assert source.get() == source.get() == "t1"
+    now[0] = 71
+    assert source.get() == "t2" and len(made) == 2
+
+
+def test_views_are_shown_again(spark):
+    seen = []
+    monitor.refreshed(lambda: spark.range(len(seen)), seen.append, 0, 3)
+    assert [len(x) for x in seen] == [0, 1, 2]
