@@ -5,6 +5,8 @@ The prefix array of a text holds, modulo each of two primes, P[i] = sum of c[j]
 found by binary search. A fingerprint keeps of a text: its length, the hash of all of it, the hashes of its prefixes and
 suffixes at lengths that grow geometrically (a sampled prefix array, on which the same binary search works), and a sketch of
 the hashes of its spans of WIDTH code points. Equal texts have equal fingerprints; two fingerprints give a likeness from 0 to 1.
+Where neighbours meet, the marks tell between which lengths their longest common extensions from the start and to the end lie,
+and a binary search on prefix arrays of that much of both texts gives these to the code point.
 
 A fingerprint has a bounded size. Arrays are built over BLOCK code points at a time, so that a text of any length needs
 bounded memory.
@@ -196,6 +198,18 @@ def likeness(a: tuple, b: tuple) -> float:
     return float(min(1.0, max(ends, 2 * jaccard / (1 + jaccard))))
 
 
+def extension(a: str, b: str, mine: tuple, its: tuple, at: int) -> int:
+    """Length of the longest common prefix of two texts (at = 2) or suffix (at = 3), exact but for collisions of whole hashes: up to the first mark where the fingerprints differ, by binary search on prefix arrays."""
+    if mine[:2] == its[:2]:
+        return mine[0]
+    k = int(np.searchsorted(MARKS, _agree(mine[at], its[at]), "right"))
+    most = min(len(a), len(b), int(MARKS[k]))
+    if not most:
+        return 0
+    parts = [x[:most] if at == 2 else x[-most:][::-1] for x in (a, b)]
+    return PrefixHashes(parts[0]).common(0, PrefixHashes(parts[1]), 0)
+
+
 def fingerprint(text: str | None) -> str:
     return encode(prints(code_points(text)))
 
@@ -206,14 +220,15 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_start long, common_end long"
 
 
 def _row(own: tuple, following: tuple) -> tuple:
     (doc_id, text, mine), (_, after, its) = own, following
     new = edited(text, after)
     changed = prints(code_points(new)) if new != text else mine
-    return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), encode(mine), encode(changed), likeness(mine, changed), likeness(mine, its)
+    ends = [extension(text, after, mine, its, at) for at in (2, 3)]
+    return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), encode(mine), encode(changed), likeness(mine, changed), likeness(mine, its), *ends
 
 
 def _neighbours(batches):
@@ -229,7 +244,7 @@ def _neighbours(batches):
             before, bucket = now, b
         if out:
             columns = zip(*out)
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import xxhash
@@ -47,13 +48,14 @@ def expected(rows):
         t, n = t or "", order[(i + 1) % len(order)][1] or ""
         h = len(t) // 2
         e = t[: len(t) - h] + n[:h]
-        out.append((k, len(t), hashlib.sha256(e.encode()).hexdigest(), S.fingerprint(t), S.fingerprint(e)))
+        ends = [len(os.path.commonprefix([x, y])) for x, y in ((t, n), (t[::-1], n[::-1]))]
+        out.append((k, len(t), hashlib.sha256(e.encode()).hexdigest(), S.fingerprint(t), S.fingerprint(e), *ends))
     return sorted(out, key=str)
 
 
 def check(docs, rows, **options):
     got = S.fingerprints(docs, **options).collect()
-    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) for r in got), key=str) == expected(rows)
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.common_start, r.common_end) for r in got), key=str) == expected(rows)
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
 
 
@@ -84,3 +86,16 @@ def test_small_tables(documents):
     assert S.fingerprints(documents([])).count() == 0
     check(documents([(5, "one")]), [(5, "one")])
     check(documents([(5, None), (5, None)]), [(5, None), (5, None)])
+
+
+def test_common_extensions_to_the_code_point(prose):
+    r = random.Random(8)
+    for k in range(200):
+        n = r.choice([0, 1, 7, 9, 50, 400, 3000])
+        start, end = prose(k, 600)[:n], prose(k + 1000, 600)[: r.choice([0, 3, 80, 2000])]
+        a, b = start + prose(k + 2000, r.randrange(1, 9)) + end, start + prose(k + 3000, r.randrange(1, 9)) + end
+        if k % 10 == 0:
+            b = a[: r.randrange(0, len(a))]
+        p, q = S.prints(S.code_points(a)), S.prints(S.code_points(b))
+        assert S.extension(a, b, p, q, 2) == len(os.path.commonprefix([a, b]))
+        assert S.extension(a, b, p, q, 3) == len(os.path.commonprefix([a[::-1], b[::-1]]))
