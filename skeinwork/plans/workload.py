@@ -24,6 +24,7 @@ from ..operators import seeds
 from ..operators import serialize as Z
 from ..operators import tasks as Q
 from ..schemas import CONTAINER
+from ..session import shared_folder
 from ..sources import jobs
 from ..sources.lines import log_records
 from . import standins as V
@@ -652,7 +653,7 @@ def stream_context_counts(spark, d):
     source = spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet")
     counted = source.groupBy(F.col("event_type").alias("context")).agg(F.count("*").alias("n"), F.sum(F.octet_length("props")).alias("bytes"))
     name = f"counts_{uuid.uuid4().hex}"
-    q = counted.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    q = counted.writeStream.format("memory").queryName(name).option("checkpointLocation", shared_folder(spark)).outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name)
 
