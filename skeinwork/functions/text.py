@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-UUID_LIKE = "^[0-9a-fA-F-]{32,36}$"
+UUID_LIKE = r"^[\p{XDigit}-]{32,36}$"
 
 
 def payload(line: Column) -> Column:

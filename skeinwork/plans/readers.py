@@ -34,6 +34,16 @@ from .workload import _ACTION_LIST, _tasks, query
 FILES = 4
 
 
+def _open_folder(spark: SparkSession) -> str:
+    """A fresh folder in the shared place that workers can open as files: what WARC records, saved pages and copies need."""
+    path = shared_folder(spark)
+    plain = path.removeprefix("file://").removeprefix("file:")
+    if "://" in plain:
+        raise ValueError(f"{path} isn't mounted: files of this kind are read by path")
+    os.makedirs(plain, exist_ok=True)
+    return plain
+
+
 def _text_files(df: DataFrame, column: str, order: str) -> str:
     """A folder of FILES text files of a column, in order over their names."""
     df.repartitionByRange(FILES, order).sortWithinPartitions(order).select(column).write.text(path := shared_folder(df.sparkSession))
@@ -142,7 +152,8 @@ def _followed(spark: SparkSession, df: DataFrame, order: list[str], mode: str =
         monitor.start(df, sink, checkpoint, None, mode).awaitTermination()
     finally:
         spark.conf.unset(monitor.PROVIDER) if before is None else spark.conf.set(monitor.PROVIDER, before)
-    rows = spark.read.schema(df.withColumn("__batch", F.lit(0)).schema).parquet(out)
+    schema = df.withColumn("__batch", F.lit(0)).schema
+    rows = spark.read.schema(schema).parquet(out) if sinks.exists(spark, out) else spark.createDataFrame([], schema)  # an empty source has no batch
     return K.newest(rows, order, F.desc("__batch")).drop("__batch") if order else rows.drop("__batch")
 
 
@@ -175,8 +186,7 @@ def monitor_volumes(spark, d):
 
 def _warc_files(spark: SparkSession, d: str) -> str:
     """pages as WARC files, one a task, every other one packed: a response of each page and a request record."""
-    folder = shared_folder(spark).removeprefix("file://")
-    os.makedirs(folder, exist_ok=True)
+    folder = _open_folder(spark)
 
     def each(batches):
         import gzip
@@ -215,8 +225,7 @@ def warc_to_index(spark, d):
 
 def _named_files(spark: SparkSession, d: str) -> str:
     """A file for every nation, with its name as content."""
-    folder = shared_folder(spark).removeprefix("file://")
-    os.makedirs(folder, exist_ok=True)
+    folder = _open_folder(spark)
 
     def each(batches):
         for batch in batches:
@@ -232,7 +241,7 @@ def _named_files(spark: SparkSession, d: str) -> str:
 @query("select n_nationkey || '.warc' as filename, strlen(n_name) as size_bytes, sha256(n_name) as sha256 from nation")
 def archive_copies(spark, d):
     """Files of a crawl moved to the archive tier and registered there by digest."""
-    target = shared_folder(spark)
+    target = _open_folder(spark)
     catalog = spark.createDataFrame([], "snapshot_id long, filename string, path string, size_bytes long, sha256 string, created_at timestamp, is_production boolean")
     out = jobs.archive(spark, catalog, _named_files(spark, d), 9, target)["warc"]
     here = F.contains("path", F.lit(target.rsplit("/", 1)[-1]))
@@ -253,8 +262,7 @@ PAGE = 1000
 
 def _saved_pages(spark: SparkSession, d: str) -> tuple[str, int]:
     """The tasks as pages of an API, each a file, and their number."""
-    folder = shared_folder(spark).removeprefix("file://")
-    os.makedirs(folder, exist_ok=True)
+    folder = _open_folder(spark)
 
     def each(key, pdf):
         with open(f"{folder}/{int(key[0]) * PAGE}.json", "w") as f:
