@@ -23,8 +23,9 @@ CHAT_TEMPLATES = r"""
 
 HOST_EXTRACT = r"""
   with b as (select page_id, url, regexp_extract(html, '<article>(.*?)</article>', 1, 's') as body from pages),
-  t as (select page_id, url, list_transform(string_split_regex(body, '</?(?:p|h1)>'), lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(
-    regexp_replace(x, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g'))) as parts from b),
+  -- A title may be cut inside a reference: &amp, &lt and the like count without their semicolon too.
+  t as (select page_id, url, list_transform(string_split_regex(body, '</?(?:p|h1)>'), lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(
+    regexp_replace(x, '<[^>]*>', ' ', 'g'), '&#39;', ''''), '&nbsp;?', ' ', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) as parts from b),
   j as (select page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) as text from t)
   select page_id, url, text, length(text) as n_chars, 'markup' as decided from j"""
 
