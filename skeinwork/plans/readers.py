@@ -548,3 +548,58 @@ def change_notifications(spark, d):
     stream = spark.readStream.schema(s.schema).parquet(path)
     out = _followed(spark, monitor.changes(stream), [], "append")
     return out.agg(F.count("*").alias("told"), F.count_distinct("uid").alias("different"))
+
+
+# Jobs that run by the clock, monitors under control
+
+
+@query(TASKS_SQL + " select status, count(*) as n, 2 as runs from task group by 1")
+def periodic_import(spark, d):
+    """The pages imported by a job that runs again and again: after two runs every task is stored once."""
+    path, n = _saved_pages(spark, d)
+    table, runs = sinks.VersionedTable(spark, shared_folder(spark)), []
+
+    def job(run: int) -> None:
+        if len(runs) < 2:
+            new = Q.imported(task_pages(spark, path, limit=PAGE, total=str(n))).select("uid", "status")
+            old = table.read()
+            table.replace(new if old is None else K.appended(old, new, ["uid"]))
+            runs.append(run)
+
+    q = monitor.every(spark, job, shared_folder(spark), 0.5)
+    while len(runs) < 2 and not q.awaitTermination(0.2):
+        pass
+    q.stop()
+    return table.read().groupBy("status").agg(F.count("*").alias("n")).withColumn("runs", F.lit(len(runs)))
+
+
+@query("select event_type as kind, count(*) as n, 'crawl_stop' as ended from events group by 1")
+def governed_monitor(spark, d):
+    """All of events as a stream that is suspended at the start, resumed from its checkpoint, and stopped when it has read all."""
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    total = V.table(spark, d, "events").count()
+    out, checkpoint, told = shared_folder(spark), shared_folder(spark), ["crawl_suspend", "crawl_suspend", "crawl_resume"]
+
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    def begin():
+        stream = spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet").select(F.col("event_type").alias("kind"))
+        return monitor.start(stream, sink, checkpoint, 0.2, "append")
+
+    def wanted():
+        if told:
+            return told.pop(0)
+        return "crawl_stop" if not total or sinks.exists(spark, out) and spark.read.parquet(out).count() >= total else None
+
+    ended = monitor.governed(begin, wanted, 0.2)
+    read = spark.read.parquet(out) if sinks.exists(spark, out) else spark.createDataFrame([], "kind string")
+    return read.groupBy("kind").agg(F.count("*").alias("n")).withColumn("ended", F.lit(ended))
+
+
+@query("select 2 as shows, (select max(o_orderkey) from orders) as newest")
+def refreshed_view(spark, d):
+    """The newest snapshot shown twice."""
+    seen: list = []
+    monitor.refreshed(lambda: L.newest_first(V.snapshots(spark, d), "id").select("id").limit(1), seen.extend, 0, 2)
+    return spark.createDataFrame([(len(seen), max(r["id"] for r in seen) if seen else None)], "shows int, newest long")

@@ -605,9 +605,9 @@ def crawl_config_doc(spark, d):
     ).withColumnRenamed("crawl_config_id", "id")
 
 
-@query("""select 't' || o_orderkey as uid, 'http://site' || o_custkey || '.example/' as seed, cast(o_orderkey % 4 as int) as depth, cast(floor(o_orderkey * 10 / 1000) as bigint) as timeout, cast(trunc((o_orderkey % 3 + 0.5) * 1073741824) as bigint) as size, 'autoscroll' as behavior, 'c' || o_orderkey as collection from orders where o_orderkey >= 100""")
+@query("""select 't' || o_orderkey as uid, 'http://site' || o_custkey || '.example/' as seed, cast(o_orderkey % 4 as int) as depth, case when o_orderkey <> 0 then cast(floor(o_orderkey * 10 / 1000) as bigint) end as timeout, cast(trunc((o_orderkey % 3 + 0.5) * 1073741824) as bigint) as size, 'autoscroll' as behavior, 'c' || o_orderkey as collection from orders""")
 def crawler_config_doc(spark, d):
-    t = _tasks(spark, d).where("id >= 100").withColumn("snapshot_id", F.col("id"))
+    t = _tasks(spark, d).withColumn("snapshot_id", F.col("id"))
     config = F.concat(F.lit('{"crawlConfig":{"crawlEngine":"browsertrix","engineConfig":{"crawlScope":{"startUrls":[],"maxDepth":'), F.col("id") % 4, F.lit('},"crawlLimits":{"sizeLimitGB":'), F.col("id") % 3, F.lit('.5},"pageBehavior":{"autoScroll":true,"pageLoadLimitMs":'), F.col("id") * 10, F.lit("}}}}"))
     out = Z.crawler_configs(t.withColumn("taskParameters", config), V.snapshots(spark, d), V.websites(spark, d))
     g = lambda p: F.get_json_object("config", f"$.{p}")
