@@ -47,5 +47,5 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
 def settled(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: its lineage is cut, and a lost executor loses nothing."""
     spark = df.sparkSession
-    df.write.parquet(path := shared_folder(spark))
+    df.write.option("compression", "zstd").parquet(path := shared_folder(spark))
     return spark.read.schema(df.schema).parquet(path)

@@ -378,27 +378,23 @@ def _key(*parts: str) -> str:
 
 
 def _streams(batch):
-    """host, key (the same for pages of one article or, without one, of one text), whether the host decides, and the blocks of the stream."""
-    keys, open_, parts = [], [], []
+    """host, key (the same for pages of one article or, without one, of one text), whether the host decides, the blocks of the stream, and the text that the markup gives."""
+    keys, open_, parts, texts = [], [], [], []
     for html in batch.column(3).to_pylist():
         text, others = main_text(html)
+        texts.append(text)
         keys.append(_key("article", text) if text else _key("open" if text is None else "none", *others))
         open_.append(text is None)
         parts.append(others)
-    yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(keys), pa.array(open_), pa.array(parts, pa.list_(pa.string()))], names=["page_id", "url", "host", "key", "open", "parts"])
-
-
-def _marked_texts(batch):
-    texts = [main_text(html)[0] for html in batch.column(2).to_pylist()]
-    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+    yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(keys), pa.array(open_), pa.array(parts, pa.list_(pa.string())), pa.array(texts, pa.string())], names=["page_id", "url", "host", "key", "open", "parts", "text"])
 
 
 def extract(pages: DataFrame, least: int = PAGES) -> DataFrame:
     """page_id, url, text, n_chars, decided of every page. `least`: distinct pages of a host that make a run boilerplate."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    # Of pages with one article the least stream counts, so that reruns agree. Pages are read twice, so that between the passes only what stands around the articles is kept.
-    held = settled(map_arrow(pages.select("page_id", "url", host.alias("host"), "html"), _streams, "page_id long, url string, host string, key string, open boolean, parts array<string>"))
+    # Pages are parsed once, which costs more than writing what is kept of them. Of pages with one article the least stream counts, so that reruns agree.
+    held = settled(map_arrow(pages.select("page_id", "url", host.alias("host"), "html"), _streams, "page_id long, url string, host string, key string, open boolean, parts array<string>, text string"))
     streams = held.groupBy("host", "key").agg(F.min("parts").alias("parts"), F.max("open").alias("open"))
     pieces = map_arrow(streams.select("host", "parts"), _pieces, "host string, head long, n long")
     common = pieces.groupBy("host", "head").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("host", "head")
@@ -407,7 +403,7 @@ def extract(pages: DataFrame, least: int = PAGES) -> DataFrame:
     keyed = waiting.join(found, ["host", "key"], "left").select(F.concat_ws(" ", "key", "host").alias("key"), "parts", "common")
     solved = map_arrow(keyed, _page_unique, "key string, text string")
     rest = held.where("open").select("page_id", "url", F.concat_ws(" ", "key", "host").alias("key")).join(solved, "key").select("page_id", "url", "text", F.lit("host").alias("decided"))
-    marked = map_arrow(pages, _marked_texts, "page_id long, url string, text string").where(F.col("text").isNotNull()).select("*", F.lit("markup").alias("decided"))
+    marked = held.where(~F.col("open")).select("page_id", "url", "text", F.lit("markup").alias("decided"))
     return marked.union(rest).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "decided")
 
 
