@@ -11,7 +11,8 @@ token is believed for its form or for the word beside it. Counter-examples, whos
 fails its test, and PLAIN numbers (years and ranges of years, counts, decimals, versions, dates, times).
 
 Spark scores the graph in rounds: a pattern's confidence is belief / (belief + counter-examples + PRIOR), summed over its
-distinct instances (one of unknown kind with no belief yet weighs nothing); an instance's belief is the noisy-or of its patterns'
+distinct instances (one of unknown kind with no belief yet weighs nothing), times the share of its strongest kind in the belief:
+"call" stands before phone numbers, "of" before anything. An instance's belief is the noisy-or of its patterns'
 confidence. Patterns that end with SURE confidence and SUPPORT distinct believed instances mark every instance of unknown kind
 around which they stand, so an identifier is found that no seed and no list named. `n_discovered` counts those.
 
@@ -36,7 +37,9 @@ from pyspark.sql import functions as F
 from .common import map_arrow, row_key, settled, table
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SURE, SUPPORT, PRIOR, SEEDS, CONTEXT = 3, 0.8, 3, 1.0, 16, 64
+ROUNDS, SURE, SUPPORT, PRIOR, SEEDS, CONTEXT = 3, 0.8, 5, 1.0, 16, 64
+#: `known` of a base span of the first kind; those of the others follow.
+BASE = 10
 CUES = frozenset("token secret password passwd apikey key".split())
 #: What a seed beside a cue looks like.
 KEY = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9+/_-]{16,}")
@@ -206,12 +209,12 @@ def _merged(spans: Spans) -> tuple[Spans, list[int]]:
 
 
 def instances(text: str, base: list[tuple[str, int, int]], failed: Spans) -> list[tuple[int, int, int]]:
-    """(start, end, known) of the places of a text that patterns stand around: known is 2 for a base span, 3 for an IBAN, -1 for a counter-example, 1 for what may be chosen as a seed, else 0."""
+    """(start, end, known) of the places of a text that patterns stand around: known is BASE and up for a base span by its kind, 3 for an IBAN, -1 for a counter-example, 1 for what may be chosen as a seed, else 0."""
     if not _SIGN.search(text) and not _QUOTED.search(text):
         return []
     # A run of digits inside a longer word, such as a hash, is neither a seed nor a counter-example.
     whole = lambda a, b: not (a and text[a - 1].isalnum() or b < len(text) and text[b].isalnum())
-    out = [(a, b, 2) for _, a, b in base if whole(a, b)]
+    out = [(a, b, BASE + KINDS.index(k)) for k, a, b in base if whole(a, b)]
     failed = [x for x in failed if whole(*x)]
     seen, ends = _merged([(a, b) for a, b, _ in out])
     fresh = [(a, b, -1) for a, b in failed if not _over(seen, ends, a, b)]
@@ -268,11 +271,14 @@ def learn_patterns(scan: DataFrame, rounds: int = ROUNDS, sure: float = SURE, su
     chosen = settled(known.where("low >= 0 and high = 1").select("instance").orderBy("instance").limit(seeds))
     # A counter-example stays one for good, wherever else it stands.
     fixed = known.join(F.broadcast(chosen.withColumn("seed", F.lit(1))), "instance", "left")
-    fixed = settled(fixed.select("instance", F.when(F.col("low") < 0, 0.0).when((F.col("high") > 1) | F.col("seed").isNotNull(), 1.0).alias("fixed")))
+    fixed = settled(fixed.select("instance", F.when(F.col("high") >= BASE, F.col("high")).otherwise(0).alias("kind"), F.when(F.col("low") < 0, 0.0).when((F.col("high") > 1) | F.col("seed").isNotNull(), 1.0).alias("fixed")))
     believed = fixed.withColumn("belief", F.coalesce("fixed", F.lit(0.0)))
     for k in range(rounds):
-        scored = graph.join(believed, "instance").groupBy("pattern").agg(F.sum("belief").alias("belief"), F.count_if(F.col("fixed") == 0.0).alias("against"), F.count_if(F.col("belief") >= 0.5).alias("support"))
-        scored = scored.select("pattern", (F.col("belief") / (F.col("belief") + F.col("against") + PRIOR)).alias("confidence"), "support")
+        by_kind = [F.sum(F.when(F.col("kind") == n, F.col("belief")).otherwise(0.0)).alias(f"k{n}") for n in (0, *range(BASE, BASE + len(KINDS)))]
+        scored = graph.join(believed, "instance").groupBy("pattern").agg(F.sum("belief").alias("belief"), *by_kind, F.count_if(F.col("fixed") == 0.0).alias("against"), F.count_if(F.col("belief") >= 0.5).alias("support"))
+        strongest = F.greatest("k0", *(f"k{n}" for n in range(BASE, BASE + len(KINDS))))
+        # belief / (belief + against + PRIOR) times strongest / belief
+        scored = scored.select("pattern", (strongest / (F.col("belief") + F.col("against") + PRIOR)).alias("confidence"), "support")
         if k < rounds - 1:
             strong = scored.where((F.col("confidence") >= sure / 2) & (F.col("support") >= 2)).select("pattern", "confidence")
             doubt = graph.join(strong, "pattern").groupBy("instance").agg(F.sum(F.log1p(-F.least("confidence", F.lit(0.999)))).alias("doubt"))

@@ -103,8 +103,11 @@ def brute_confidence(rows, rounds=P.ROUNDS):
     for k in range(rounds):
         scored = {}
         for p, xs in graph.items():
-            total = sum(belief[x] for x in xs)
-            scored[p] = (total / (total + sum(fixed[x] == 0.0 for x in xs) + P.PRIOR), sum(belief[x] >= 0.5 for x in xs))
+            total, kinds = sum(belief[x] for x in xs), {}
+            for x in xs:
+                kind = high[x] if high[x] >= P.BASE else 0
+                kinds[kind] = kinds.get(kind, 0.0) + belief[x]
+            scored[p] = (max(kinds.values()) / (total + sum(fixed[x] == 0.0 for x in xs) + P.PRIOR), sum(belief[x] >= 0.5 for x in xs))
         if k < rounds - 1:
             doubt = dict.fromkeys(low, 1.0)
             for p, xs in graph.items():
@@ -145,3 +148,11 @@ def test_failed_forms_never_come_back(documents):
     rows = [(i, f"card number 411111111111{i:04d} paid") for i in range(400)]
     for r in P.personal_data(documents(rows)).collect():
         assert r.n_card + r.n_id <= 1 and r.n_id == 0
+
+
+def test_words_that_stand_before_anything_teach_nothing(documents):
+    """Ten addresses of each kind after "of"; a serial number after it isn't marked, one after "call" (phones only) is."""
+    rows = [(i, f"{w} {x} x{i}y") for i in range(10) for w, x in (("of", f"ab{i}@c.de"), ("of", f"10.0.0.{i}"), ("of", f"+1 (555) 010-{i:04d}"), ("call", f"+1 (555) 011-{i:04d}"))]
+    rows += [(100, "of AB-12345"), (101, "call AB-12345")]
+    got = {r.doc_id: r.n_id for r in P.personal_data(documents(rows)).collect()}
+    assert got[100] == 0 and got[101] == 1
