@@ -30,11 +30,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 class VersionedTable:
     """A Parquet table that is replaced as a whole: each version is a folder, the highest finished one is read.
 
-    A writer that dies leaves a folder without its _SUCCESS mark, which is never read.
+    A writer that dies leaves a folder without its _SUCCESS mark, which is never read. The last `keep` versions stay, for readers
+    that have begun; older ones go when a new one is written.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, keep: int = 3):
+        self.spark, self.path, self.keep = spark, path.rstrip("/"), max(2, keep)
 
     def _versions(self) -> list[int]:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -52,6 +53,9 @@ class VersionedTable:
     def replace(self, df: DataFrame) -> int:
         n = (v[-1] if (v := self._versions()) else 0) + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v{n}")
+        for old in self._versions()[: -self.keep]:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{old}")
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
         return n
 
     def upsert(self, new: DataFrame, keys: list[str]) -> int:

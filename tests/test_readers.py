@@ -170,3 +170,16 @@ def test_views_are_shown_again(spark):
     seen = []
     monitor.refreshed(lambda: spark.range(len(seen)), seen.append, 0, 3)
     assert [len(x) for x in seen] == [0, 1, 2]
+
+
+def test_old_versions_go(spark, tmp_path):
+    import os
+
+    from skeinwork.operators.sinks import VersionedTable
+
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for k in range(6):
+        old = table.read()
+        new = spark.createDataFrame([(k, k)], "id long, n long")
+        table.replace(new if old is None else old.unionByName(new))
+    assert table.read().count() == 6 and sorted(os.listdir(tmp_path / "t")) == ["v4", "v5", "v6"]
