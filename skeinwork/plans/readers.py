@@ -32,6 +32,8 @@ from . import standins as V
 from .workload import _ACTION_LIST, _tasks, query
 
 FILES = 4
+#: Lines of a text file at most: larger tables make more files, not larger sorts.
+LINES = 250_000
 
 
 def _open_folder(spark: SparkSession) -> str:
@@ -45,8 +47,8 @@ def _open_folder(spark: SparkSession) -> str:
 
 
 def _text_files(df: DataFrame, column: str, order: str) -> str:
-    """A folder of FILES text files of a column, in order over their names."""
-    df.repartitionByRange(FILES, order).sortWithinPartitions(order).select(column).write.text(path := shared_folder(df.sparkSession))
+    """A folder of FILES text files of a column, or as many as LINES asks for, in order over their names."""
+    df.repartitionByRange(max(FILES, -(-df.count() // LINES)), order).sortWithinPartitions(order).select(column).write.text(path := shared_folder(df.sparkSession))
     return path
 
 

@@ -10,6 +10,8 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -51,6 +53,10 @@ def volumes(lines_: DataFrame) -> DataFrame:
 
 POLL = "snapshot_id long, last_update timestamp, log_lines long, log_bytes long, cdx_lines long, cdx_bytes long, log_entries_per_sec double, log_bytes_per_sec double, cdx_entries_per_sec double, cdx_bytes_per_sec double, log_stalled boolean, cdx_stalled boolean, js_heavy boolean, crawled long, total long, pending long, failed long, limit_hit boolean, last_page string"
 _STATE = "seen_update timestamp, base_update timestamp, log_lines long, log_bytes long, cdx_lines long, cdx_bytes long, base_log_lines long, base_log_bytes long, base_cdx_lines long, base_cdx_bytes long, crawled long, total long, pending long, failed long, limit_hit boolean, last_page string"
+#: The values of which a poll keeps the last one told.
+VALUES = ("crawled", "total", "pending", "failed", "limit_hit", "last_page", "seen_update")
+#: Rows of lines that are held before they are combined.
+HELD = 1 << 15
 
 
 class PollProcessor(StatefulProcessor):
@@ -63,13 +69,13 @@ class PollProcessor(StatefulProcessor):
         names = [c.split()[0] for c in _STATE.split(", ")]
         old = dict(zip(names, self.state.get())) if self.state.exists() else dict.fromkeys(names)
         total = {k: old[k] or 0 for k in ("log_lines", "log_bytes", "cdx_lines", "cdx_bytes")}
-        kept = {k: old[k] for k in ("crawled", "total", "pending", "failed", "limit_hit", "last_page", "seen_update")}
+        kept = {k: old[k] for k in VALUES}
         frame = pd.concat(list(rows)).sort_values(["path", "offset"], kind="stable")
         for src in ("log", "cdx"):
             own = frame[frame["src"] == src]
-            total[f"{src}_lines"] += len(own)
+            total[f"{src}_lines"] += int(own["lines"].sum())
             total[f"{src}_bytes"] += int(own["bytes"].sum())
-        for column in ("crawled", "total", "pending", "failed", "limit_hit", "last_page", "seen_update"):
+        for column in VALUES:
             told = frame[column].dropna()
             if len(told):
                 v = told.iloc[-1]
@@ -96,20 +102,54 @@ class PollProcessor(StatefulProcessor):
 
 
 def poll_rows(lines_: DataFrame) -> DataFrame:
-    """What a poll needs of each line: all lines count, few have values."""
+    """What a poll needs of each line: all lines count, few have values. `lines` is how many a row stands for."""
     lines_ = X.once(lines_, "record", F.from_json(X.payload(F.col("line")), LOG_RECORD))
     r = F.col("record")
     log, status = F.col("src") == "log", r.context == "crawlStatus"
     start = (r.context == "worker") & (r.message == "Starting page")
     return lines_.select(
-        "snapshot_id", "src", "path", "offset", "bytes", F.when(log, r.timestamp.try_cast("timestamp")).alias("seen_update"),
+        "snapshot_id", "src", "path", "offset", F.lit(1).cast("long").alias("lines"), "bytes", F.when(log, r.timestamp.try_cast("timestamp")).alias("seen_update"),
         *[F.when(log & status, r.details[k]).alias(k) for k in ("crawled", "total", "pending", "failed")], F.when(log & status, r.details.limit.hit).alias("limit_hit"), F.when(log & start, r.details.page).alias("last_page"),
     )
 
 
+def combined(rows: pa.Table) -> pa.Table:
+    """Fewer rows that say the same to a poll: one with the lines and bytes of each source of a crawl, and of each value the row that tells it last, which counts no lines."""
+    rows = rows.sort_by([("path", "ascending"), ("offset", "ascending")])
+    volume = rows.group_by(["snapshot_id", "src"]).aggregate([("lines", "sum"), ("bytes", "sum")])
+    own = {"snapshot_id": volume["snapshot_id"], "src": volume["src"], "lines": volume["lines_sum"], "bytes": volume["bytes_sum"]}
+    counts = pa.table([own.get(f.name, pa.nulls(len(volume), f.type)) for f in rows.schema], schema=rows.schema)
+    at = pa.array(range(len(rows)), pa.int64())
+    told = pa.table({"snapshot_id": rows["snapshot_id"]} | {c: pc.if_else(pc.is_valid(rows[c]), at, None) for c in VALUES})
+    ends = told.group_by("snapshot_id").aggregate([(c, "max") for c in VALUES])
+    chosen = pc.unique(pc.drop_null(pa.chunked_array([x for c in VALUES for x in ends[f"{c}_max"].chunks], pa.int64())))
+    last, none = rows.take(chosen), pa.array([0] * len(chosen), pa.int64())
+    last = pa.table([none if f.name in ("lines", "bytes") else last[f.name] for f in rows.schema], schema=rows.schema)
+    return pa.concat_tables([counts, last])
+
+
+def poll_parts(rows: DataFrame) -> DataFrame:
+    """Rows of lines combined in the task that reads them, so that the task of a crawl gets some ten rows of each and no lines.
+
+    A partition of many crawls puts out what it holds, combined, whenever that is more than HELD rows.
+    """
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]))
+            if sum(map(len, held)) > HELD:
+                held = [combined(pa.concat_tables(held))]
+                if len(held[0]) > HELD // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from combined(pa.concat_tables(held)).to_batches()
+
+    return rows.mapInArrow(each, rows.schema)
+
+
 def polls(lines_: DataFrame) -> DataFrame:
     """A row for each crawl and micro-batch with rates and flags; needs the RocksDB state store (see `state_store`)."""
-    return poll_rows(lines_).groupBy("snapshot_id").transformWithStateInPandas(statefulProcessor=PollProcessor(), outputStructType=POLL, outputMode="Update", timeMode="None")
+    return poll_parts(poll_rows(lines_)).groupBy("snapshot_id").transformWithStateInPandas(statefulProcessor=PollProcessor(), outputStructType=POLL, outputMode="Update", timeMode="None")
 
 
 def state_store(spark: SparkSession) -> None:

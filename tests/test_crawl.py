@@ -122,6 +122,33 @@ def test_stream_equals_batch_for_any_split(spark, tmp_path):
     assert {r.context: r.n for r in S.context_counts(lines.log_records(batch)).collect()} == contexts
 
 
+def test_lines_are_combined_before_they_meet(spark):
+    """A crawl's task gets a bounded number of rows from each partition, which say what all its lines say."""
+    import pandas as pd
+    import pyarrow as pa
+
+    r = random.Random(3)
+    schema = "snapshot_id long, src string, path string, offset long, lines long, bytes long, seen_update timestamp, crawled long, total long, pending long, failed long, limit_hit boolean, last_page string"
+    rows = [(r.choice([7, 8, None]), r.choice(["log", "cdx"]), r.choice("abc"), i, 1, r.randrange(99), None, *[r.choice([None] * 40 + [2**60 + i]) for _ in range(4)], r.choice([None] * 40 + [True, False]), r.choice([None, None, f"p{i}"])) for i in range(3000)]
+    df = spark.createDataFrame(rows, schema)
+    def said(held):
+        out = {}
+        for x in sorted(held, key=lambda x: (x.path or "", -1 if x.offset is None else x.offset)):
+            own = out.setdefault(x.snapshot_id, Counter())
+            own[x.src, "lines"] += x.lines
+            own[x.src, "bytes"] += x.bytes
+            for c in monitor.VALUES:
+                if x[c] is not None:
+                    own[c] = x[c]
+        return out
+
+    parts = monitor.poll_parts(df.repartition(4, "offset")).collect()
+    assert said(parts) == said(df.collect()) and len(parts) <= 4 * 3 * (2 + len(monitor.VALUES))
+    table = pa.Table.from_pandas(pd.DataFrame(rows, columns=df.columns).astype({"snapshot_id": "Int64", **{c: "Int64" for c in ("crawled", "total", "pending", "failed")}}))
+    once = monitor.combined(table.set_column(6, "seen_update", pa.nulls(len(table), pa.timestamp("us"))))
+    assert sorted(map(str, monitor.combined(once).to_pylist())) == sorted(map(str, once.to_pylist())) and monitor.combined(once.slice(0, 0)).num_rows == 0
+
+
 def test_file_sources(spark, tmp_path):
     import hashlib
 
