@@ -41,6 +41,13 @@ def appended(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(made, allowMissingColumns=True)
 
 
+def looked_up(rows: DataFrame, table: DataFrame, key: str, by: str) -> DataFrame:
+    """rows beside those of table by a key of whole numbers or text, a left join. Rows without a key match nothing; they are spread by another column instead of meeting in one task."""
+    text = F.xxhash64(F.col(key).cast("string"))
+    spread = F.when(F.col(key).isNull(), F.xxhash64(by)).otherwise(text)
+    return rows.withColumn("__spread", spread).join(table.withColumn("__spread", text), [key, "__spread"], "left").drop("__spread")
+
+
 def without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(gone.select(*keys), keys, "left_anti")
 
@@ -76,7 +83,7 @@ def orphan_summary(snapshots: DataFrame, gone: DataFrame) -> DataFrame:
 def cascade_delete(gone: DataFrame, snapshots: DataFrame, warcs: DataFrame, deliveries: DataFrame, tasks: DataFrame) -> dict[str, DataFrame]:
     """The four tables without the snapshots: children go too, tasks only lose their reference."""
     ids = gone.select(F.col("id").alias("snapshot_id"))
-    lost = tasks.join(ids.withColumn("__gone", F.lit(True)), "snapshot_id", "left")
+    lost = looked_up(tasks, ids.withColumn("__gone", F.lit(True)), "snapshot_id", "uid")
     return {
         "snapshot": snapshots.join(ids, snapshots["id"] == ids["snapshot_id"], "left_anti"),
         "warc": without(warcs, ids, ["snapshot_id"]),

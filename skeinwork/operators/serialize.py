@@ -13,6 +13,7 @@ from ..functions import numbers as N
 from ..functions import text as X
 from ..functions import times as T
 from ..schemas import ENGINE_CONFIG, WEBSITE_DOCUMENT
+from .catalog import looked_up
 
 ENGINES = ("browsertrix", "heritrix")
 STATS = "struct<crawled:bigint,total:bigint,pending:bigint,failed:bigint,limit_hit:boolean,by_request_type:map<string,bigint>,by_mime:map<string,bigint>,by_http_status:map<string,bigint>,by_url_extension:map<string,bigint>>"
@@ -140,7 +141,7 @@ def websites_from_documents(tasks: DataFrame, stored: DataFrame, column: str = "
     w = F.from_json(F.get_json_object(column, "$.website"), WEBSITE_DOCUMENT)
     held = tasks.select("uid", w.alias("w"), F.coalesce(w.id, X.whole_number(F.get_json_object(column, "$.websiteId"))).alias("website_id"))
     old = stored.select(F.col("id").alias("website_id"), *[F.col(c).alias(f"old_{c}") for c in ("name", "url", "displayName", "shortDescription", "longDescription", "doCrawl", "isDeleted", "auto_publish")])
-    both = held.join(old, "website_id", "left")
+    both = looked_up(held, old, "website_id", "uid")
     pick = lambda new, c: F.coalesce(F.col("w")[new], F.col(f"old_{c}")).alias(c)
     deleted = F.coalesce(F.col("w.isDeleted"), F.col("old_isDeleted"), F.lit(False))
     return both.select(
@@ -171,7 +172,7 @@ def crawler_configs(tasks: DataFrame, snapshots_: DataFrame, sites: DataFrame) -
     s = snapshots_.select(F.col("id").alias("snapshot_id"), "website_id", "replay_collection_id")
     w = sites.select(F.col("id").alias("website_id"), F.col("url").alias("website_url"))
     config = F.get_json_object("taskParameters", "$.crawlConfig.engineConfig")
-    held = tasks.join(s, "snapshot_id", "left").join(w, "website_id", "left").withColumn("e", F.from_json(config, ENGINE_CONFIG))
+    held = looked_up(looked_up(tasks, s, "snapshot_id", "uid"), w, "website_id", "uid").withColumn("e", F.from_json(config, ENGINE_CONFIG))
     document = F.to_json(crawler_config(F.col("e"), F.col("website_url"), F.col("replay_collection_id")))
     return held.select("uid", F.when(config.isNotNull(), document).alias("config"), F.when(config.isNull(), "The task parameters hold no crawlConfig").alias("error"))
 
@@ -191,7 +192,7 @@ def task_parameters(snapshots_: DataFrame, sites: DataFrame, configs: DataFrame)
     s = snapshots_.select("snapshot_id", "website_id", F.col("document").alias("snapshot"))
     w = sites.select("website_id", F.col("website_crawl_parameters_id").alias("crawl_config_id"), F.col("document").alias("website"))
     c = configs.select("crawl_config_id", F.col("document").alias("config"))
-    held = s.join(w, "website_id", "left").join(c, "crawl_config_id", "left")
+    held = looked_up(looked_up(s, w, "website_id", "snapshot_id"), c, "crawl_config_id", "snapshot_id")
     fixed = F.to_json(F.struct("snapshot", "website", F.col("website_id").alias("websiteId"), F.when(F.col("config").isNotNull(), F.col("crawl_config_id")).alias("crawlConfigId")))
     whole = F.when(F.col("config").isNull(), fixed).otherwise(F.concat(F.substring(fixed, 1, F.length(fixed) - 1), F.lit(',"crawlConfig":'), F.col("config"), F.lit("}")))
     return held.select("snapshot_id", whole.alias("parameters"))

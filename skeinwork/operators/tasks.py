@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import times as T
-from .catalog import insert_if_absent, newest
+from .catalog import insert_if_absent, looked_up, newest
 
 #: action -> (queue group, whether the action needs a target task)
 ACTIONS = {
@@ -63,7 +63,7 @@ def with_target(tasks: DataFrame, stored: DataFrame) -> DataFrame:
     """Each task beside the one that its parameters name: target_status, target_snapshot_id; target_found tells whether there is one."""
     aims = tasks.withColumn("target_uid", X.json_key(F.col("taskParameters"), "target_task_uid"))
     there = newest(stored, ["uid"], F.desc("id")).select(F.col("uid").alias("target_uid"), F.col("status").alias("target_status"), F.col("snapshot_id").alias("target_snapshot_id"), F.lit(True).alias("target_found"))
-    return aims.join(there, "target_uid", "left").withColumn("target_found", F.coalesce("target_found", F.lit(False)))
+    return looked_up(aims, there, "target_uid", "uid").withColumn("target_found", F.coalesce("target_found", F.lit(False)))
 
 
 def eligibility(action: Column, target_uid: Column, found: Column, status: Column, snapshot: Column) -> tuple[Column, Column]:
@@ -101,7 +101,8 @@ def controlled(tasks: DataFrame, stored: DataFrame) -> DataFrame:
 def with_payload_snapshot(tasks: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Tasks with the id of the snapshot that their parameters embed, if it is stored."""
     known = newest(snapshots.select("uid", "id"), ["uid"], F.asc("id")).select(F.col("uid").alias("__uid"), F.col("id").alias("payload_snapshot_id"))
-    return tasks.withColumn("__uid", X.json_key(F.col("taskParameters"), "snapshot", "uid")).join(known, "__uid", "left").drop("__uid")
+    aims = tasks.withColumn("__uid", X.json_key(F.col("taskParameters"), "snapshot", "uid"))
+    return looked_up(aims, known, "__uid", "uid").drop("__uid")
 
 
 def lifecycle(tasks: DataFrame, finished: DataFrame, now: Column) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +34,26 @@ def test_insert_if_absent_marks_and_appends(spark):
     assert sorted(map(tuple, K.appended(old, new, ["id"]).collect())) == [(1, "a"), (2, "b")]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_rows_without_a_key_are_spread(spark, kind):
+    """A snapshot without a website, or a website without a configuration, matches nothing: no task gets all of these."""
+    s = spark.range(4000).select(F.col("id").alias("snapshot_id"), F.when(F.col("id") % 10 == 0, F.col("id").cast(kind)).alias("website_id"), F.struct("id").alias("document"))
+    sites = spark.range(0, 4000, 20).select(F.col("id").cast(kind).alias("website_id"), F.when(F.col("id") % 100 == 0, F.col("id")).alias("website_crawl_parameters_id"), F.struct("id").alias("document"))
+    configs = spark.range(0, 4000, 200).select(F.col("id").alias("crawl_config_id"), F.lit("{}").alias("document"))
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        rows = Z.task_parameters(s, sites, configs).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    held = {r.snapshot_id: json.loads(r.parameters) for r in rows}
+    assert len(rows) == len(held) == 4000 and max(Counter(r.part for r in rows).values()) < 2000
+    assert all(("website" in x) == (k % 20 == 0) and ("crawlConfig" in x) == (k % 200 == 0) and ("websiteId" in x) == (k % 10 == 0) for k, x in held.items())
+
+
 def test_orphans_go_with_their_children(spark):
     snaps = frame(spark, "snapshot", {"id": 1, "replay_collection_id": "c1"}, {"id": 2, "replay_collection_id": "c2"})
     dirs = spark.createDataFrame([("c1",)], "collection string")
