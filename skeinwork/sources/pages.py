@@ -1,4 +1,4 @@
-"""A batch source over a paged task API, a partition for each page.
+"""A batch source over a paged task API, a partition for each run of pages.
 
 A page is fetched by `start` and `limit` until one comes back short. The transport is a class path or a folder of saved pages
 (`<start>.json`), so that tests and replays need no network.
@@ -12,6 +12,7 @@ from importlib import import_module
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -19,6 +20,8 @@ from ..schemas import TASK_DOCUMENT
 
 LIMIT, TIMEOUT = 50, 10
 FIELDS = [f.split()[0] for f in TASK_DOCUMENT.split(", ")]
+#: Pages of a partition at most. One is read at a time, so memory is that of a page.
+RUN = 64
 
 
 def saved_pages(options: dict, start: int, limit: int) -> dict:
@@ -44,8 +47,8 @@ def fetcher(options: dict):
 
 
 class Page(InputPartition):
-    def __init__(self, start: int):
-        self.start = start
+    def __init__(self, start: int, end: int = -1):
+        self.start, self.end = start, end
 
 
 class PageReader(DataSourceReader):
@@ -53,19 +56,23 @@ class PageReader(DataSourceReader):
         self.options, self.limit = options, int(options.get("limit", LIMIT))
 
     def partitions(self) -> list[Page]:
-        """One page each where the number of rows is told; else a single partition that goes on until a short page."""
-        total = self.options.get("total")
-        return [Page(s) for s in range(0, int(total), self.limit)] if total else [Page(-1)]
+        """Runs of pages where the number of rows is told, `tasks` of them or more; else a single partition that goes on until a short page."""
+        if not (total := self.options.get("total")):
+            return [Page(-1)]
+        pages = -(-int(total) // self.limit)
+        rows = max(1, min(RUN, -(-pages // int(self.options.get("tasks", pages or 1))))) * self.limit
+        return [Page(s, min(s + rows, int(total))) for s in range(0, int(total), rows)]
 
     def read(self, partition: Page):
         fetch, start = fetcher(self.options), max(partition.start, 0)
         while True:
             page = fetch(self.options, start, self.limit)
             items = page.get("items") or []
-            for item in items:
-                yield tuple(self._cell(item.get(f, page.get("runAt") if f == "runAt" else None)) for f in FIELDS)
+            absent = {"runAt": page.get("runAt")}
+            columns = [pa.array([self._cell(item.get(f, absent.get(f))) for item in items], pa.string()) for f in FIELDS]
+            yield pa.RecordBatch.from_arrays(columns, FIELDS)
             start += self.limit
-            if partition.start >= 0 or len(items) < self.limit:
+            if start >= partition.end if partition.start >= 0 else len(items) < self.limit:
                 return
 
     @staticmethod
@@ -88,7 +95,7 @@ class PageSource(DataSource):
 def task_pages(spark: SparkSession, path: str, statuses: list[str] | None = None, limit: int = LIMIT, **options) -> DataFrame:
     """Task documents of the API at path; statuses are joined by pipes."""
     spark.dataSource.register(PageSource)
-    reader = spark.read.format("task_pages").option("limit", str(limit))
+    reader = spark.read.format("task_pages").option("limit", str(limit)).option("tasks", str(spark.sparkContext.defaultParallelism))
     if statuses:
         reader = reader.option("whereStatus", "|".join(statuses))
     return reader.options(**options).load(path)

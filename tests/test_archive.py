@@ -99,6 +99,23 @@ def test_page_source_goes_on_until_a_short_page(spark, tmp_path):
     assert jobs.sync_tasks(docs, stored).first().status == "success"
 
 
+def test_pages_are_read_in_runs(spark, tmp_path):
+    """Many pages make few tasks; every page is read, one that is short or absent ends nothing."""
+    from skeinwork.sources import pages
+
+    held = {s: [f"u{s + i}" for i in range(2)] for s in range(0, 600, 2) if s != 40} | {600: ["u600"], 50: ["u50"]}
+    for s, uids in held.items():
+        (tmp_path / f"{s}.json").write_text(json.dumps({"items": [{"uid": u, "taskParameters": {"é": [1]}, "runAt": None} if u == "u3" else {"uid": u} for u in uids], "runAt": "2024"}))
+    docs = pages.task_pages(spark, str(tmp_path), limit=2, total="601")
+    got = {r.uid: r for r in docs.collect()}
+    assert docs.count() == len(got) and set(got) == {u for uids in held.values() for u in uids} and docs.rdd.getNumPartitions() <= 5
+    assert (got["u3"].runAt, got["u3"].taskParameters, got["u4"].runAt, got["u4"].taskParameters) == (None, '{"\\u00e9": [1]}', "2024", None)
+    for tasks, n in ((1, 5), (8, 8), (10**6, 301)):
+        runs = pages.PageReader({"limit": "2", "total": "601", "tasks": str(tasks)}).partitions()
+        assert len(runs) in (n, n - 1) and [r.end for r in runs] == [*[r.start for r in runs[1:]], 601]
+    assert pages.PageReader({"limit": "2", "total": "0", "tasks": "4"}).partitions() == []
+
+
 def test_control_rules(spark):
     stored = frame(spark, "task", {"id": 1, "uid": "r", "status": "running", "snapshot_id": 1}, {"id": 2, "uid": "p", "status": "paused"}, {"id": 3, "uid": "n", "status": "running"})
     cases = [("crawl_suspend", "r", "paused"), ("crawl_suspend", "p", "failed"), ("crawl_suspend", "n", "failed"), ("crawl_resume", "p", "running"), ("crawl_resume", "r", "failed"), ("crawl_cancel", "p", "cancelled"), ("crawl_stop", "x", "failed"), ("crawl_stop", None, "failed"), ("crawl_stop", "r", "stopped")]
