@@ -263,21 +263,33 @@ PAGE = 1000
 
 
 def _saved_pages(spark: SparkSession, d: str) -> tuple[str, int]:
-    """The tasks as pages of an API, each a file, and their number."""
+    """The tasks as pages of an API, each a file, and how far they go."""
     folder = _open_folder(spark)
 
-    def each(key, pdf):
-        with open(f"{folder}/{int(key[0]) * PAGE}.json", "w") as f:
-            json.dump({"runAt": "2024-01-01T00:00:00Z", "items": [json.loads(x) for x in pdf.sort_values("id")["item"]]}, f)
-        return pdf[["id"]].head(0)
+    def each(batches):
+        """Rows come in order of their page, and all of a page in one task; one page is held at a time."""
+        page, held = None, []
+        for batch in batches:
+            for number, item in zip(batch.column("page").to_pylist(), batch.column("item").to_pylist()):
+                if number != page and held:
+                    save(page, held)
+                    held = []
+                page = number
+                held.append(item)
+        if held:
+            save(page, held)
+        yield from ()
+
+    def save(page, held):
+        with open(f"{folder}/{page * PAGE}.json", "w") as f:
+            f.write('{"runAt": "2024-01-01T00:00:00Z", "items": [' + ", ".join(held) + "]}")
 
     t = _tasks(spark, d).select("id", F.struct("uid", "action", "status", "priority", T.to_iso(F.col("updateTime")).alias("updateTime"), "taskParameters").alias("task"))
-    n = t.count()
-    # Ids have no gaps, so every page but the last has PAGE tasks.
-    low = t.agg(F.min("id")).first()[0] or 0
-    items = t.select("id", F.floor((F.col("id") - low) / PAGE).cast("long").alias("page"), F.to_json("task").alias("item"))
-    items.groupBy("page").applyInPandas(each, "id long").write.format("noop").mode("overwrite").save()
-    return folder, n
+    # Where ids have gaps, pages are short or absent.
+    low, high = t.agg(F.min("id"), F.max("id")).first()
+    items = t.select("id", F.floor((F.col("id") - (low or 0)) / PAGE).cast("long").alias("page"), F.to_json("task").alias("item"))
+    items.repartition("page").sortWithinPartitions("page", "id").select("page", "item").mapInArrow(each, "id long").write.format("noop").mode("overwrite").save()
+    return folder, 0 if low is None else high - low + 1
 
 
 TASKS_SQL = f"""
