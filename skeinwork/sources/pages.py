@@ -63,7 +63,9 @@ class PageReader(DataSourceReader):
         rows = max(1, min(RUN, -(-pages // int(self.options.get("tasks", pages or 1))))) * self.limit
         return [Page(s, min(s + rows, int(total))) for s in range(0, int(total), rows)]
 
-    def read(self, partition: Page):
+    def read(self, partition: Page | None):
+        if partition is None:  # what Spark gives where there are no partitions
+            return
         fetch, start = fetcher(self.options), max(partition.start, 0)
         while True:
             page = fetch(self.options, start, self.limit)

@@ -183,3 +183,17 @@ def test_old_versions_go(spark, tmp_path):
         new = spark.createDataFrame([(k, k)], "id long, n long")
         table.replace(new if old is None else old.unionByName(new))
     assert table.read().count() == 6 and sorted(os.listdir(tmp_path / "t")) == ["v4", "v5", "v6"]
+
+
+def test_saved_pages_of_ids_with_gaps(spark, tmp_path):
+    """Ids far apart make short and absent pages; every task is read."""
+    from skeinwork.plans import readers
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    key = F.col("o_orderkey")
+    orders.withColumn("o_orderkey", key + F.when(key % 2 == 0, F.lit(7)).otherwise(F.lit(25_000)).cast("long")).write.parquet(str(tmp_path / "orders.parquet"))
+    assert {r.status: r.n for r in workload.queries()["task_page_reader"](spark, str(tmp_path)).groupBy("status").agg(F.sum("n").alias("n")).collect()} == {
+        "success" if s == "F" else "running" if s == "O" else "failed": n for s, n in orders.groupBy("o_orderstatus").count().collect()
+    }
+    orders.limit(0).write.parquet(str(tmp_path / "none" / "orders.parquet"))
+    assert readers._saved_pages(spark, str(tmp_path / "none"))[1] == 0 and workload.queries()["task_page_reader"](spark, str(tmp_path / "none")).count() == 0
